@@ -48,29 +48,34 @@ def _score(obj: Column) -> Column:
     return F.when(number < 0, F.lit(0)).when(number > 100, F.lit(100)).otherwise(number.try_cast("int"))
 
 
+def _parsed_once(reply: Column, build) -> Column:
+    """Struct made from the reply object, which is bound as a lambda variable and so parsed once."""
+    return F.transform(F.array(reply_object(reply)), build)[0]
+
+
 def fit_reply(reply: Column) -> Column:
     """Struct of the fit verdict in a reply; ``ok`` is false when the reply holds no JSON object."""
-    obj = reply_object(reply)
-    confidence = F.coalesce(filled(_word(obj, "confidence")), F.lit("medium"))
-    known = confidence.isin(*CONFIDENCES)
-    domain = _field(obj, "domain")
-    no_domain = F.is_variant_null(domain) | _text(obj, "domain").isin("false", "0")
-    return F.struct(
-        obj.isNotNull().alias("ok"),
-        F.when(_word(obj, "decision").isin(*FIT_WORDS), "fit").otherwise("not_fit").alias("decision"),
-        F.coalesce(filled(strip_space(_text(obj, "rationale"))), F.lit(NO_RATIONALE)).alias("rationale"),
-        F.when(known, confidence).otherwise("medium").alias("confidence"),
-        F.when(_field(obj, "fit_score").isNotNull(), _score(obj)).alias("fit_score"),
-        F.when(~F.coalesce(no_domain, F.lit(True)), filled(F.lower(strip_space(_text(obj, "domain"))))).alias("domain"),
-        (obj.isNotNull() & ~known).alias("odd_confidence"),
-    )
+    def build(obj: Column) -> Column:
+        confidence = F.coalesce(filled(_word(obj, "confidence")), F.lit("medium"))
+        known = confidence.isin(*CONFIDENCES)
+        no_domain = F.is_variant_null(_field(obj, "domain")) | _text(obj, "domain").isin("false", "0")
+        return F.struct(
+            obj.isNotNull().alias("ok"),
+            F.when(_word(obj, "decision").isin(*FIT_WORDS), "fit").otherwise("not_fit").alias("decision"),
+            F.coalesce(filled(strip_space(_text(obj, "rationale"))), F.lit(NO_RATIONALE)).alias("rationale"),
+            F.when(known, confidence).otherwise("medium").alias("confidence"),
+            F.when(_field(obj, "fit_score").isNotNull(), _score(obj)).alias("fit_score"),
+            F.when(~F.coalesce(no_domain, F.lit(True)), filled(F.lower(strip_space(_text(obj, "domain"))))).alias("domain"),
+            (obj.isNotNull() & ~known).alias("odd_confidence"),
+        )
+
+    return _parsed_once(reply, build)
 
 
 def person_reply(reply: Column) -> Column:
     """Struct of the person verdict in a reply."""
-    obj = reply_object(reply)
-    return F.struct(
+    return _parsed_once(reply, lambda obj: F.struct(
         obj.isNotNull().alias("ok"),
         F.when(_word(obj, "decision").isin(*YES_WORDS), "yes").otherwise("no").alias("decision"),
         F.coalesce(filled(strip_space(_text(obj, "reason"))), F.lit(NO_REASON)).alias("reason"),
-    )
+    ))

@@ -61,7 +61,8 @@ def fold_accents(text: Column) -> Column:
     the per-character lookup only runs on values that hold a character folding to several."""
     src, dst, marks, many, many_class = _fold_tables()
     single = F.regexp_replace(F.translate(text, src, dst), marks, "")
-    table = F.map_from_arrays(F.array(*map(F.lit, many)), F.array(*map(F.lit, many.values())))
+    # one literal that constant folding turns into a map, not one plan node per entry
+    table = F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in many.items())), F.lit("\n"), F.lit("\t"))
 
     def expand(c: Column) -> Column:
         syllable = F.ascii(c) - _HANGUL_FIRST

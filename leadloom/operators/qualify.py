@@ -135,24 +135,22 @@ def evaluate(companies: DataFrame, rules: Rules = DEFAULT_RULES, replies: DataFr
     object falls to the keyword rules with low confidence. Adds ``size_band``, the verdict columns and
     ``odd_confidence`` (a reply named a confidence outside the domain)."""
     band = size_band(F.col("employees"), rules)
+    none = F.lit(None)
     if replies is None:
-        judged = companies.withColumn("v", F.when(band.isNull(), size_verdict(F.col("employees"), rules)).otherwise(rule_verdict(rules)))
-        judged = judged.withColumn("odd_confidence", F.lit(False))
+        joined = companies.withColumn("r", none.cast("struct<ok: boolean>"))
+        given, odd = rule_verdict(rules), F.lit(False)
     else:
         joined = companies.join(replies.select("company_key", "reply"), "company_key", "left")
         joined = joined.withColumn("r", F.when(F.col("reply").isNotNull(), fit_reply(F.col("reply"))))
-        given = _verdict(F.col("r.decision"), F.col("r.rationale"), F.col("r.confidence"), F.col("r.fit_score"), "llm_web", F.col("r.domain"))
-        failed = F.col("r.ok").isNotNull() & ~F.col("r.ok")
-        own = rule_verdict(rules)
-        judged = joined.withColumn("v", F.when(band.isNull(), size_verdict(F.col("employees"), rules))
-                                   .when(F.col("r.ok"), given)
-                                   .when(failed, own.withField("confidence", F.lit("low")))
-                                   .otherwise(own))
-        judged = judged.withColumn("odd_confidence", band.isNotNull() & F.coalesce(F.col("r.odd_confidence"), F.lit(False)))
-        judged = judged.drop("reply", "r")
-    return judged.select(
-        *companies.columns, band.alias("size_band"), *[F.col(f"v.{c}") for c in VERDICT], "odd_confidence"
-    )
+        reply = _verdict(F.col("r.decision"), F.col("r.rationale"), F.col("r.confidence"), F.col("r.fit_score"), "llm_web", F.col("r.domain"))
+        given = F.when(F.col("r.ok"), reply).otherwise(rule_verdict(rules))
+        odd = band.isNotNull() & F.coalesce(F.col("r.odd_confidence"), F.lit(False))
+    judged = joined.withColumn("v", F.when(band.isNull(), size_verdict(F.col("employees"), rules)).otherwise(given))
+    failed = band.isNotNull() & F.coalesce(~F.col("r.ok"), F.lit(False))
+    verdict = [
+        (F.when(failed, "low").otherwise(F.col("v.confidence")) if c == "confidence" else F.col(f"v.{c}")).alias(c) for c in VERDICT
+    ]
+    return judged.select(*companies.columns, band.alias("size_band"), *verdict, odd.alias("odd_confidence"))
 
 
 def reuse_stored(companies: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
