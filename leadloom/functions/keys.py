@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leadloom.functions.text import company_norm, filled, person_norm, profile_url, site_label
+from leadloom.functions.text import bound, company_norm, filled, person_norm, profile_url, site_label
 
 
 def company_key(slug: Column, organization: Column) -> Column:
@@ -14,11 +14,9 @@ def company_key(slug: Column, organization: Column) -> Column:
 
 def contact_key(url: Column, full_name: Column, own_domain: Column, company_domain: Column) -> Column:
     """Canonical profile address, else normalized name and site label."""
-    canonical = profile_url(url)
     domain = F.coalesce(filled(own_domain), filled(company_domain), F.lit(""))
-    return F.when(canonical != "", canonical).otherwise(
-        F.concat(person_norm(full_name), F.lit("|"), site_label(domain))
-    )
+    fallback = F.concat(person_norm(full_name), F.lit("|"), site_label(domain))
+    return bound(profile_url(url), lambda u: F.when(u != "", u).otherwise(fallback))
 
 
 def memo_key(url: Column, full_name: Column) -> Column:

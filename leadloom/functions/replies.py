@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leadloom.functions.text import filled, strip_space
+from leadloom.functions.text import bound, filled, strip_space
 
 FIT_WORDS = ("fit", "yes", "true")
 YES_WORDS = ("yes", "true")
@@ -16,66 +16,77 @@ NO_REASON = "No reason returned."
 
 def reply_object(reply: Column) -> Column:
     """The reply as a VARIANT object: code fences removed, then the whole text, else the span from
-    the first brace to the last. Null when that is no JSON object."""
-    plain = strip_space(F.regexp_replace(strip_space(reply), r"(?md)^```(?:json)?|```$", ""))
-    span = F.regexp_extract(plain, r"(?s)\{.*\}", 0)
-    parsed = F.coalesce(F.try_parse_json(plain), F.try_parse_json(filled(span)))
-    return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed)
-
+    the first brace to the last. Null when that is no JSON object. Texts that cannot start a JSON
+    value are not given to the parser as a whole."""
+    def parsed(plain: Column) -> Column:
+        whole = F.when(plain.rlike(r'^[\[{"0-9tfnNI-]'), F.try_parse_json(plain))
+        span = filled(F.regexp_extract(plain, r"(?s)\{.*\}", 0))
+        return bound(
+            F.coalesce(whole, F.try_parse_json(span)),
+            lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v),
+        )
 
-def _field(obj: Column, name: str) -> Column:
-    return F.try_variant_get(obj, f"$.{name}", "variant")
+    fenced = strip_space(reply)
+    plain = F.when(fenced.contains("```"), strip_space(F.regexp_replace(fenced, r"(?md)^```(?:json)?|```$", ""))).otherwise(fenced)
+    return bound(plain, parsed)
 
 
 def _text(obj: Column, name: str) -> Column:
     """Text of a field: SQL null when absent, ``None`` for a JSON null."""
-    value = _field(obj, name)
-    return F.when(F.is_variant_null(value), F.lit("None")).otherwise(F.try_variant_get(obj, f"$.{name}", "string"))
+    value = F.try_variant_get(obj, f"$.{name}", "variant")
+    return bound(value, lambda v: F.when(F.is_variant_null(v), F.lit("None")).otherwise(F.try_variant_get(v, "$", "string")))
 
 
 def _word(obj: Column, name: str) -> Column:
-    return F.lower(strip_space(F.coalesce(_text(obj, name), F.lit(""))))
+    return F.lower(strip_space(_text(obj, name)))
 
 
-def _score(obj: Column) -> Column:
+def _score(value: Column) -> Column:
     """Whole number clamped to 0..100. Fractional numbers are cut; texts must be whole numbers."""
-    text = F.try_variant_get(obj, "$.fit_score", "string")
-    kind = F.schema_of_variant(_field(obj, "fit_score"))
-    whole = F.when(kind == "STRING", F.regexp_extract(text, r"^\s*([+-]?[0-9]+)\s*$", 1)).when(
-        kind == "BOOLEAN", F.when(text == "true", F.lit("1")).otherwise(F.lit("0"))
-    ).otherwise(text)
-    number = whole.try_cast("double")
-    return F.when(number < 0, F.lit(0)).when(number > 100, F.lit(100)).otherwise(number.try_cast("int"))
-
+    def whole(v: Column) -> Column:
+        kind, text = v["kind"], v["text"]
+        return F.when(kind == "STRING", F.regexp_extract(text, r"^\s*([+-]?[0-9]+)\s*$", 1)).when(
+            kind == "BOOLEAN", F.when(text == "true", F.lit("1")).otherwise(F.lit("0"))
+        ).otherwise(text).try_cast("double")
 
-def _parsed_once(reply: Column, build) -> Column:
-    """Struct made from the reply object, which is bound as a lambda variable and so parsed once."""
-    return F.transform(F.array(reply_object(reply)), build)[0]
+    facts = F.struct(F.schema_of_variant(value).alias("kind"), F.try_variant_get(value, "$", "string").alias("text"))
+    clamp = lambda n: F.when(n < 0, F.lit(0)).when(n > 100, F.lit(100)).otherwise(n.try_cast("int"))
+    return bound(bound(facts, whole), clamp)
 
 
 def fit_reply(reply: Column) -> Column:
     """Struct of the fit verdict in a reply; ``ok`` is false when the reply holds no JSON object."""
-    def build(obj: Column) -> Column:
-        confidence = F.coalesce(filled(_word(obj, "confidence")), F.lit("medium"))
-        known = confidence.isin(*CONFIDENCES)
-        no_domain = F.is_variant_null(_field(obj, "domain")) | _text(obj, "domain").isin("false", "0")
+    def fields(obj: Column) -> Column:
         return F.struct(
-            obj.isNotNull().alias("ok"),
-            F.when(_word(obj, "decision").isin(*FIT_WORDS), "fit").otherwise("not_fit").alias("decision"),
-            F.coalesce(filled(strip_space(_text(obj, "rationale"))), F.lit(NO_RATIONALE)).alias("rationale"),
-            F.when(known, confidence).otherwise("medium").alias("confidence"),
-            F.when(_field(obj, "fit_score").isNotNull(), _score(obj)).alias("fit_score"),
-            F.when(~F.coalesce(no_domain, F.lit(True)), filled(F.lower(strip_space(_text(obj, "domain"))))).alias("domain"),
-            (obj.isNotNull() & ~known).alias("odd_confidence"),
+            obj.isNotNull().alias("ok"), _word(obj, "decision").alias("decision"),
+            filled(strip_space(_text(obj, "rationale"))).alias("rationale"), filled(_word(obj, "confidence")).alias("confidence"),
+            _score(F.try_variant_get(obj, "$.fit_score", "variant")).alias("fit_score"), _word(obj, "domain").alias("domain"),
+            F.try_variant_get(obj, "$.domain", "string").alias("given_domain"),
         )
 
-    return _parsed_once(reply, build)
+    def verdict(f: Column) -> Column:
+        odd = f["confidence"].isNotNull() & ~f["confidence"].isin(*CONFIDENCES)
+        absent = F.coalesce(f["given_domain"].isin("false", "0", ""), F.lit(True))
+        return F.struct(
+            f["ok"].alias("ok"),
+            F.when(f["decision"].isin(*FIT_WORDS), "fit").otherwise("not_fit").alias("decision"),
+            F.coalesce(f["rationale"], F.lit(NO_RATIONALE)).alias("rationale"),
+            F.when(odd, "medium").otherwise(F.coalesce(f["confidence"], F.lit("medium"))).alias("confidence"),
+            f["fit_score"].alias("fit_score"),
+            F.when(~absent, filled(f["domain"])).alias("domain"),
+            odd.alias("odd_confidence"),
+        )
+
+    return bound(bound(reply_object(reply), fields), verdict)
 
 
 def person_reply(reply: Column) -> Column:
     """Struct of the person verdict in a reply."""
-    return _parsed_once(reply, lambda obj: F.struct(
-        obj.isNotNull().alias("ok"),
-        F.when(_word(obj, "decision").isin(*YES_WORDS), "yes").otherwise("no").alias("decision"),
-        F.coalesce(filled(strip_space(_text(obj, "reason"))), F.lit(NO_REASON)).alias("reason"),
-    ))
+    def verdict(obj: Column) -> Column:
+        return F.struct(
+            obj.isNotNull().alias("ok"),
+            F.when(_word(obj, "decision").isin(*YES_WORDS), "yes").otherwise("no").alias("decision"),
+            F.coalesce(filled(strip_space(_text(obj, "reason"))), F.lit(NO_REASON)).alias("reason"),
+        )
+
+    return bound(reply_object(reply), verdict)

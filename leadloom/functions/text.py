@@ -56,11 +56,19 @@ def _fold_tables() -> tuple[str, str, str, dict[str, str], str]:
     return "".join(one_src), "".join(one_dst), _char_class(marks), many, many_class
 
 
+def bound(value: Column, build) -> Column:
+    """``build(value)`` with the value computed once, as a lambda variable."""
+    return F.transform(F.array(value), build)[0]
+
+
 def fold_accents(text: Column) -> Column:
-    """Compatibility-decompose and drop combining marks. Pure ASCII values pass straight through;
-    the per-character lookup only runs on values that hold a character folding to several."""
+    """Compatibility-decompose and drop combining marks.
+
+    ASCII texts pass straight through. Of the others, most are ASCII once single characters are
+    translated; the mark class and the per-character lookup only run on what is left. The look-ahead
+    keeps the long classes away from ASCII characters."""
     src, dst, marks, many, many_class = _fold_tables()
-    single = F.regexp_replace(F.translate(text, src, dst), marks, "")
+    beyond = r"[^\x00-\x7F]"
     # one literal that constant folding turns into a map, not one plan node per entry
     table = F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in many.items())), F.lit("\n"), F.lit("\t"))
 
@@ -76,10 +84,14 @@ def fold_accents(text: Column) -> Column:
         hangul = c.between(chr(_HANGUL_FIRST), chr(_HANGUL_LAST))
         return F.when(hangul, jamo).otherwise(F.coalesce(F.try_element_at(table, c), c))
 
-    chars = F.regexp_extract_all(single, F.lit("(?s)(.)"), F.lit(1))
-    several = F.array_join(F.transform(chars, expand), "")
-    folded = F.when(single.rlike(many_class), several).otherwise(single)
-    return F.when(text.rlike(r"[^\x00-\x7F]"), folded).otherwise(text)
+    def by_character(t: Column) -> Column:
+        chars = F.regexp_extract_all(t, F.lit("(?s)(.)"), F.lit(1))
+        return F.when(t.rlike(f"(?={beyond}){many_class}"), F.array_join(F.transform(chars, expand), "")).otherwise(t)
+
+    def by_class(t: Column) -> Column:
+        return F.when(t.rlike(beyond), bound(F.regexp_replace(t, f"(?={beyond}){marks}", ""), by_character)).otherwise(t)
+
+    return F.when(text.rlike(beyond), bound(F.translate(text, src, dst), by_class)).otherwise(text)
 
 
 def squeeze(text: Column) -> Column:
@@ -88,7 +100,10 @@ def squeeze(text: Column) -> Column:
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+    """Trim white space of any kind; most texts have none and skip the regular expression."""
+    edge = F.substring(text, 1, 1), F.substring(text, -1, 1)
+    clean = edge[0].between("!", "~") & edge[1].between("!", "~")
+    return F.when(clean, text).otherwise(F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", ""))
 
 
 def _alternatives(words: Iterable[str]) -> str:
@@ -115,29 +130,36 @@ _URL = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://([^/?#]*))?([^?#]*)"
 def profile_url(url: Column, site: str = "linkedin.com") -> Column:
     """Canonical profile address: one host for all locale hosts, no query, no trailing slash, no
     locale segment, https."""
+    def canonical(full: Column) -> Column:
+        host = F.lower(F.regexp_extract(full, _URL, 1))
+        host = bound(host, lambda h: F.when(h.endswith(site), F.lit(f"www.{site}")).otherwise(h))
+        path = F.lower(F.regexp_replace(F.regexp_extract(full, _URL, 2), "/+$", ""))
+        return F.concat(F.lit("https://"), host, F.regexp_replace(path, "^/[a-z]{2}(?=/in/)", ""))
+
     bare = F.translate(strip_space(url), "\t\r\n", "")
-    full = F.when(bare.contains("://"), bare).otherwise(F.concat(F.lit("https://"), bare))
-    host = F.lower(F.regexp_extract(full, _URL, 1))
-    host = F.when(host.endswith(site), F.lit(f"www.{site}")).otherwise(host)
-    path = F.lower(F.regexp_replace(F.regexp_extract(full, _URL, 2), "/+$", ""))
-    path = F.regexp_replace(path, "^/[a-z]{2}(?=/in/)", "")
-    return F.when(url.isNull() | (url == ""), F.lit("")).otherwise(F.concat(F.lit("https://"), host, path))
+    full = bound(bare, lambda u: F.when(u.contains("://"), u).otherwise(F.concat(F.lit("https://"), u)))
+    return F.when(url != "", bound(full, canonical)).otherwise(F.lit(""))
 
 
 def site_label(address: Column, two_part: Iterable[str] = TWO_PART_SUFFIXES) -> Column:
     """Registrable label of a URL or domain (``www.acme.co.uk/jobs`` -> ``acme``)."""
-    text = F.lower(strip_space(address))
-    netloc = F.regexp_extract(text, _URL, 1)
-    body = F.when(
-        text.contains("://"), F.when(netloc != "", netloc).otherwise(F.regexp_extract(text, _URL, 2))
-    ).otherwise(text)
-    host = F.regexp_replace(F.substring_index(body, "/", 1), r"^www\.", "")
     known = rf"\.(?:{_alternatives(two_part)})$"
     labels = lambda c: F.split(c, r"\.")
-    label = F.when(
-        host.rlike(known), F.element_at(labels(F.regexp_replace(host, known, "")), -1)
-    ).when(host.contains("."), F.element_at(labels(host), -2)).otherwise(host)
-    return F.when(address.isNull() | (address == ""), F.lit("")).otherwise(label)
+
+    def host_of(text: Column) -> Column:
+        netloc = F.regexp_extract(text, _URL, 1)
+        inner = F.when(netloc != "", netloc).otherwise(F.regexp_extract(text, _URL, 2))
+        body = F.when(text.contains("://"), inner).otherwise(text)
+        return F.regexp_replace(F.substring_index(body, "/", 1), r"^www\.", "")
+
+    def label(host: Column) -> Column:
+        return (
+            F.when(host.rlike(known), F.element_at(labels(F.regexp_replace(host, known, "")), -1))
+            .when(host.contains("."), F.element_at(labels(host), -2)).otherwise(host)
+        )
+
+    host = bound(F.lower(strip_space(address)), host_of)
+    return F.when(address != "", bound(host, label)).otherwise(F.lit(""))
 
 
 def _holds(text: Column, word: str, whole_words: bool) -> Column:
@@ -165,7 +187,7 @@ def fact_text(industry: Column, description: Column, specialties: Column) -> Col
 def csv_list(value: Column) -> Column:
     """Comma list to trimmed non-empty items; null when nothing is left."""
     items = F.filter(F.transform(F.split(value, ","), strip_space), lambda x: x != "")
-    return F.when(F.size(items) > 0, items)
+    return bound(items, lambda i: F.when(F.size(i) > 0, i))
 
 
 def first_of(values: Column) -> Column:

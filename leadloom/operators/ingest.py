@@ -68,9 +68,18 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= keep).drop("_rank")
 
 
+def rows_at(df: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a wide ``df`` at ``keys`` (which identify a row), for a thin table of winning keys.
+    Winners are the hash side, so the wide rows are neither sorted nor held, and since each key is a
+    single row no task gets more than its share."""
+    return df.join(winners.select(*keys).hint("shuffle_hash"), list(keys), "left_semi")
+
+
 def first_postings(jobs: DataFrame) -> DataFrame:
-    """One posting per id: the first in feed order."""
-    return first_per_key(jobs, ["id"], [SEQ])
+    """One posting per id: the first in feed order. The order is settled on (id, position) alone with
+    map-side combining; the texts follow only for the winners."""
+    first = jobs.groupBy("id").agg(F.min(SEQ).alias(SEQ))
+    return rows_at(jobs, first, ["id", SEQ])
 
 
 def recent(jobs: DataFrame, as_of: Column, days: int | None = RECENCY_DAYS, column: str = "date_posted") -> DataFrame:

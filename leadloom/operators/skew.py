@@ -69,7 +69,3 @@ def spread_join(
         return joined.drop("_part")
     return joined.select("big.*", *[F.col(f"small.{c}") for c in right.columns if c not in (*keys, "_part")]).drop("_part")
 
-
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; stops reading beyond that."""
-    return df.limit(rows + 1).count() <= rows

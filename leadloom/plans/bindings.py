@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.rules import TITLE_PHRASES
+from leadloom.session import spread_small
 
 COUNTRIES = (
     "Germany", "Switzerland", "Netherlands", "Belgium", "Denmark", "Sweden", "Ireland", "France",
@@ -51,6 +52,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows get costly expressions."""
+    return spread_small(table(spark, sf_dir, name), key)
+
+
 def pick(values, index: Column) -> Column:
     """Value of a literal list at a running number."""
     return F.element_at(F.array(*map(F.lit, values)), (index % len(values)).cast("int") + 1)
@@ -82,7 +88,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, c = F.col("o_orderkey"), F.col("c_custkey")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     base = (
-        table(spark, sf_dir, "orders").drop("o_totalprice")
+        spread_table(spark, sf_dir, "orders", "o_orderkey").drop("o_totalprice")
         .join(customers(spark, sf_dir), F.col("o_custkey") == c)
         .join(docs.select(F.col("doc_id").alias("o_doc"), F.col("text").alias("o_text")), o == F.col("o_doc"), "left")
         .join(docs.select(F.col("doc_id").alias("c_doc"), F.col("text").alias("c_text")), c == F.col("c_doc"), "left")

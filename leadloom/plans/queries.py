@@ -15,7 +15,8 @@ from leadloom.functions.keys import contact_key, row_id
 from leadloom.functions.replies import fit_reply, person_reply
 from leadloom.operators import checks, ingest, match, merge, people as ppl, qualify, report, rollup, validate
 from leadloom.plans import bindings as b
-from leadloom.rules import DEFAULT_RULES, LOCATIONS
+from leadloom.rules import DEFAULT_RULES
+from leadloom.session import spread_small, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,8 +47,8 @@ def or_empty(value) -> Column:
 # --- text ----------------------------------------------------------------------------------------
 @query
 def q_fold_accents(spark, sf):
-    folded = tx.person_norm(F.col("text"))
-    return b.table(spark, sf, "documents").select("doc_id", F.md5(folded).alias("folded_md5"), F.length(folded).cast("bigint").alias("folded_chars"))
+    folded = b.spread_table(spark, sf, "documents", "doc_id").select("doc_id", tx.person_norm(F.col("text")).alias("f"))
+    return folded.select("doc_id", F.md5("f").alias("folded_md5"), F.length("f").cast("bigint").alias("folded_chars"))
 
 
 @query
@@ -99,7 +100,7 @@ def q_parse_ts(spark, sf):
         F.when(e % 6 == 0, text).when(e % 6 == 1, F.concat(text, F.lit("Z"))).when(e % 6 == 2, F.concat(text, F.lit("+02:00")))
         .when(e % 6 == 3, F.substring(text, 1, 10)).when(e % 6 == 4, F.substring(text, 1, 4)).otherwise(F.col("event_type"))
     )
-    return b.table(spark, sf, "events").select("event_id", F.coalesce(epoch_micros(iso_instant(form)), F.lit(-1)).alias("micros"))
+    return b.spread_table(spark, sf, "events", "event_id").select("event_id", F.coalesce(epoch_micros(iso_instant(form)), F.lit(-1)).alias("micros"))
 
 
 @query
@@ -116,7 +117,7 @@ def q_csv_list(spark, sf):
 @query
 def q_keyword_hits(spark, sf):
     blob = tx.fact_text(F.col("source"), F.col("text"), F.array("lang", "source"))
-    return b.table(spark, sf, "documents").select(
+    return b.spread_table(spark, sf, "documents", "doc_id").select(
         "doc_id", joined(tx.hits(blob, WORDS)).alias("hits"), joined(tx.hits(blob, DEFAULT_RULES.target_keywords)).alias("targets"),
     )
 
@@ -152,7 +153,7 @@ def q_first_postings(spark, sf):
 @query
 def q_recency(spark, sf):
     """Events within eight days of a fixed instant; every fiftieth has no time and stays."""
-    events = b.table(spark, sf, "events").withColumn("seen", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+    events = b.spread_table(spark, sf, "events", "event_id").withColumn("seen", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
     now = F.lit("2024-01-25 12:00:00").cast("timestamp_ntz")
     return ingest.recent(events, now, column="seen").select("event_id", "user_id", "event_type")
 
@@ -165,8 +166,13 @@ def q_select_source(spark, sf):
 
 
 # --- roll-up and match ---------------------------------------------------------------------------
-def _jobs(spark, sf) -> DataFrame:
-    return ingest.first_postings(ingest.typed_jobs(b.feed(spark, sf)))
+def _jobs(spark, sf, texts: bool = True) -> DataFrame:
+    """Postings of the feed as a written table, for the queries that go over them several times.
+    Description texts are left out where nothing reads them."""
+    feed = ingest.typed_jobs(b.feed(spark, sf)).drop("description_text")
+    if not texts:
+        feed = feed.withColumn("linkedin_org_description", F.lit(None).cast("string"))
+    return written(ingest.first_postings(feed), "jobs")
 
 
 @query
@@ -188,7 +194,7 @@ def _part_names(spark, sf) -> DataFrame:
         .when(p % 5 == 3, F.concat(F.substring(name, 1, 3), F.substring(name, 3, 100), F.lit("s"))).when(p % 5 == 4, F.upper(name)).otherwise(name)
     )
     slug = F.when(p % 4 == 0, F.translate(b.pick(("red-widget", "old-anvil", "no-such-part", "rod"), F.floor(p / 4)), " ", "-"))
-    return b.table(spark, sf, "part").select(
+    return b.spread_table(spark, sf, "part", "p_partkey").select(
         "p_partkey", F.concat(typo, b.pick(b.NAME_FORMS, p)).alias("name"), slug.alias("slug"),
         F.when(p % 9 == 0, "https://www.rod.co.uk/x").alias("site"),
     )
@@ -220,7 +226,7 @@ def q_match_blocked(spark, sf):
 def _long_names(spark, sf) -> DataFrame:
     p = F.col("p_partkey")
     name = F.concat_ws(" ", F.col("p_name"), F.lower("p_type"), b.pick(("works of", "trading house", "supply", "forge company works", "transmission"), p), F.lit("brand"))
-    return b.table(spark, sf, "part").select("p_partkey", name.alias("name"))
+    return b.spread_table(spark, sf, "part", "p_partkey").select("p_partkey", name.alias("name"))
 
 
 @query
@@ -235,7 +241,7 @@ def q_match_ratio(spark, sf):
 def q_subsequence(spark, sf):
     """Longest common subsequence of each part's name and its type and brand."""
     other = F.lower(F.concat_ws(" ", "p_type", "p_brand"))
-    return b.table(spark, sf, "part").select("p_partkey", common_subsequence(F.col("p_name"), other).cast("bigint").alias("lcs"))
+    return b.spread_table(spark, sf, "part", "p_partkey").select("p_partkey", common_subsequence(F.col("p_name"), other).cast("bigint").alias("lcs"))
 
 
 def _matched_companies(spark, sf, jobs: DataFrame) -> DataFrame:
@@ -245,7 +251,7 @@ def _matched_companies(spark, sf, jobs: DataFrame) -> DataFrame:
 
 @query
 def q_client_side_output(spark, sf):
-    jobs = _jobs(spark, sf)
+    jobs = _jobs(spark, sf, texts=False)
     found, _, _ = match.split_matched(_matched_companies(spark, sf, jobs))
     rows = match.client_postings(jobs, found, as_of())
     return rows.withColumn("posted_at", F.coalesce(epoch_micros(F.col("posted_at")), F.lit(-1))).withColumn("detected_at", epoch_micros(F.col("detected_at")))
@@ -254,7 +260,8 @@ def q_client_side_output(spark, sf):
 @query
 def q_match_split(spark, sf):
     """Client, agency or to evaluate, per company of the feed."""
-    found, agencies, rest = match.split_matched(_matched_companies(spark, sf, _jobs(spark, sf)))
+    matched = written(_matched_companies(spark, sf, _jobs(spark, sf, texts=False)), "matched")
+    found, agencies, rest = match.split_matched(matched)
     tag = lambda df, name: df.select("company_key", F.lit(name).alias("branch"), or_empty("client_name").alias("client_name"), or_empty("match_method").alias("match_method"))
     return tag(found, "client").unionByName(tag(agencies, "agency")).unionByName(tag(rest, "evaluate"))
 
@@ -299,7 +306,7 @@ def q_fit_rules(spark, sf):
 
 def _fit_replies(spark, sf) -> DataFrame:
     e = F.col("event_id")
-    return b.table(spark, sf, "events").select(
+    return b.spread_table(spark, sf, "events", "event_id").select(
         F.concat(F.lit("org-"), e.cast("string")).alias("company_key"), b.reply_text(e, F.col("props")).alias("reply")
     )
 
@@ -312,7 +319,7 @@ def q_fit_with_replies(spark, sf):
 
 @query
 def q_fit_reply(spark, sf):
-    r = b.table(spark, sf, "events").select("event_id", fit_reply(b.reply_text(F.col("event_id"), F.col("props"))).alias("r"))
+    r = b.spread_table(spark, sf, "events", "event_id").select("event_id", fit_reply(b.reply_text(F.col("event_id"), F.col("props"))).alias("r"))
     return r.select(
         "event_id", F.col("r.ok").cast("int").alias("ok"), "r.decision", "r.rationale", "r.confidence",
         F.coalesce("r.fit_score", F.lit(-1)).cast("bigint").alias("fit_score"), or_empty("r.domain").alias("domain"),
@@ -324,7 +331,7 @@ def q_person_reply(spark, sf):
     """Reply where it holds an object, else the rule on the title."""
     e = F.col("event_id")
     rule = validate.person_rule(b.pick(b.PERSON_TITLES, e), F.when(e % 2 == 0, "50-200").otherwise("201-1000"))
-    r = b.table(spark, sf, "events").select("event_id", person_reply(b.reply_text(e, F.col("props"))).alias("r"), rule.alias("own"))
+    r = b.spread_table(spark, sf, "events", "event_id").select("event_id", person_reply(b.reply_text(e, F.col("props"))).alias("r"), rule.alias("own"))
     verdict = F.when(F.col("r.ok"), F.struct("r.decision", "r.reason")).otherwise(F.col("own"))
     return r.select("event_id", F.col("r.ok").cast("int").alias("replied"), verdict.alias("v")).select("event_id", "replied", "v.*")
 
@@ -365,7 +372,7 @@ def q_fit_question(spark, sf):
 # --- people and pairs ----------------------------------------------------------------------------
 def _targets(spark, sf) -> DataFrame:
     fit = qualify.evaluate(b.companies(spark, sf)).filter("decision = 'fit'")
-    return ppl.with_target(fit)
+    return written(ppl.with_target(fit), "targets")
 
 
 def _guard(spark, sf) -> DataFrame:
@@ -429,12 +436,14 @@ def q_query_outcomes(spark, sf):
 
 def _person_replies(pairs: DataFrame, spark, sf) -> DataFrame:
     """Replies for the pairs whose posting number is that of an event."""
-    e = b.table(spark, sf, "events").select(F.col("event_id").alias("job_seq"), b.reply_text(F.col("event_id"), F.col("props")).alias("reply"))
+    e = b.spread_table(spark, sf, "events", "event_id").select(F.col("event_id").alias("job_seq"), b.reply_text(F.col("event_id"), F.col("props")).alias("reply"))
     return pairs.select("memo", "job_id", "job_seq").distinct().join(e, "job_seq").drop("job_seq")
 
 
 def _judged(spark, sf, replies: bool = False) -> DataFrame:
     pairs = validate.pair_up(_best(spark, sf), b.jobs_of_companies(spark, sf))
+    if replies:
+        pairs = written(pairs, "pairs")
     return validate.judge(pairs, replies=_person_replies(pairs, spark, sf) if replies else None)
 
 
@@ -467,7 +476,7 @@ def q_bridge(spark, sf):
     """Contact to posting links after a run that met stored links: the passing pairs of the even
     postings were stored before."""
     links = validate.link_batch(_judged(spark, sf)).withColumn("linked_at", F.lit("new"))
-    rows = links.select(row_id(F.col("dedup_key")).alias("contact_id"), "job_id", "linked_at")
+    rows = written(links.select(row_id(F.col("dedup_key")).alias("contact_id"), "job_id", "linked_at"), "links")
     stored = rows.filter(F.substring("job_id", -1, 1).isin(*"02468")).withColumn("linked_at", F.lit("old"))
     return merge.keyed_merge(stored, rows, merge.CONTACT_JOBS).select("contact_id", "job_id", "linked_at", F.col("created").cast("int").alias("created"))
 
@@ -559,7 +568,7 @@ CONTACT_POLICY = merge.Upsert(keys=("dedup_key",), replace=("title", "validation
 def _contact_batch(spark, sf) -> DataFrame:
     """One row per lineitem: a person named by the supplier, met at the companies of its orders."""
     s, o = F.col("l_suppkey"), F.col("l_orderkey")
-    return b.table(spark, sf, "lineitem").select(
+    return spread_small(b.table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(
         contact_key(b.person_url(s), b.person_name(s), F.lit(""), F.lit("site.example")).alias("dedup_key"),
         row_id(o.cast("string")).alias("company_id"), b.person_name(s).alias("full_name"),
         F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("title"), F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("validation_reason"),
@@ -636,25 +645,24 @@ def q_cascade(spark, sf):
 @query
 def q_table_totals(spark, sf):
     decided = _decided(spark, sf)
-    judged = _judged(spark, sf)
-    contacts = validate.link_batch(judged).select("dedup_key").distinct()
-    return report.table_totals(b.jobs_of_companies(spark, sf), decided, contacts, validate.link_batch(judged))
+    links = written(validate.link_batch(_judged(spark, sf)), "links")
+    return report.table_totals(b.jobs_of_companies(spark, sf), decided, links.select("dedup_key").distinct(), links)
 
 
 @query
 def q_funnel(spark, sf):
     """Counters of all stages over the feed, nothing stored before."""
     jobs = _jobs(spark, sf)
-    matched = _matched_companies(spark, sf, jobs)
+    matched = written(_matched_companies(spark, sf, jobs), "matched")
     found, _, rest = match.split_matched(matched)
     client_rows = match.client_postings(jobs, found, as_of())
-    decided = qualify.evaluate(rest).withColumn("cached", F.lit(False))
+    decided = written(qualify.evaluate(rest).withColumn("cached", F.lit(False)), "verdicts")
     targets = ppl.with_target(decided.filter("decision = 'fit'"))
-    best = ppl.people_of(targets, b.people(spark, sf))
+    best = written(ppl.people_of(targets, b.people(spark, sf)), "best")
     outcomes = ppl.query_outcomes(targets, best)
     facts = targets.select("company_key", "first_seq", "size_band", "domain")
     pairs = validate.judge(validate.pair_up(validate.with_memo(best.join(facts, "company_key")), jobs))
-    settled = validate.settle(pairs, SETTLE_KEY)
+    settled = written(validate.settle(pairs, SETTLE_KEY), "settled")
     contacts = validate.contact_batch(settled, as_of()).select("dedup_key").distinct().withColumn("created", F.lit(True))
     return report.stack(
         report.counters(jobs, "scrape", {"jobs_scraped": F.count(F.lit(1))}),
@@ -669,7 +677,7 @@ def q_shortlist(spark, sf):
     place, and who are the two people to talk to there?"""
     jobs = _jobs(spark, sf)
     _, _, rest = match.split_matched(_matched_companies(spark, sf, jobs))
-    fit = ppl.with_target(qualify.evaluate(rest).filter("decision = 'fit'"))
+    fit = written(ppl.with_target(qualify.evaluate(rest).filter("decision = 'fit'")), "fit")
     best = ppl.people_of(fit, b.people(spark, sf))
     names = fit.select("company_key", "name", "size_band", "n_jobs", "fit_score")
     return best.join(names, "company_key").select(

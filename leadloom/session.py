@@ -43,3 +43,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """``df``, repartitioned by ``keys`` only where it comes in fewer partitions than the session has
+    cores, so that costly expressions do not run in a handful of tasks. Large inputs have more
+    partitions than that and are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
