@@ -70,9 +70,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 def rows_at(df: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of a wide ``df`` at ``keys`` (which identify a row), for a thin table of winning keys.
-    Winners are the hash side, so the wide rows are neither sorted nor held, and since each key is a
-    single row no task gets more than its share."""
-    return df.join(winners.select(*keys).hint("shuffle_hash"), list(keys), "left_semi")
+    Since each key is a single row, no task gets more than its share. Adaptive execution hashes the
+    thin side where all its partitions are small, so that the wide rows need no sort."""
+    return df.join(winners.select(*keys), list(keys), "left_semi")
 
 
 def first_postings(jobs: DataFrame) -> DataFrame:
