@@ -1,0 +1,3 @@
+"""Lead qualification operators on Spark."""
+
+__version__ = "0.1.0"

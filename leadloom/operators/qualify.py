@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadloom.functions.instants import iso_text
 from leadloom.functions.replies import fit_reply
 from leadloom.functions.text import fact_text, hits
 from leadloom.rules import DEFAULT_RULES, Rules
@@ -219,5 +220,5 @@ def audit_rows(decided: DataFrame) -> DataFrame:
         text(F.col("confidence")).alias("confidence"),
         text(F.col("fit_score")).alias("fit_score"),
         text(F.col("rationale")).alias("rationale"),
-        text(F.date_format("checked_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")).alias("checked_at"),
+        iso_text(F.col("checked_at")).alias("checked_at"),
     )

@@ -692,6 +692,7 @@ FUNNEL = [
     ("validate", "validations_run", "CAST(sum(n_validations) AS BIGINT) FROM x_rest_settled"),
     ("validate", "job_links", "CAST(sum(n_links) AS BIGINT) FROM x_rest_settled WHERE kept"),
     ("validate", "contacts_created", "count(DISTINCT dedup_key) FROM x_rest_settled WHERE kept"),
+    ("validate", "contacts_existing", "count(*) - count(DISTINCT dedup_key) FROM x_rest_settled WHERE kept"),
 ]
 oracle("q_funnel", " UNION ALL ".join(f"SELECT '{sec}' AS section, '{m}' AS metric, {q.replace(' FROM', ' AS value FROM', 1) if ' FROM' in q else q + ' AS value'}" for sec, m, q in FUNNEL))
 oracle("q_shortlist", f"""
