@@ -6,12 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leadloom.functions.text import bound, filled, strip_space
+from leadloom.texts import NO_RATIONALE, NO_REASON
 
 FIT_WORDS = ("fit", "yes", "true")
 YES_WORDS = ("yes", "true")
 CONFIDENCES = ("high", "medium", "low")
-NO_RATIONALE = "No rationale returned."
-NO_REASON = "No reason returned."
 
 
 def reply_object(reply: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import lru_cache, reduce
 
 from pyspark.sql import Column
@@ -197,3 +197,11 @@ def first_of(values: Column) -> Column:
 def filled(value: Column) -> Column:
     """Empty string counts as missing."""
     return F.nullif(value, F.lit(""))
+
+
+def filled_in(parts: Sequence[str], *values: Column) -> Column:
+    """The fixed parts of a text with the values between them."""
+    pieces = [F.lit(parts[0])]
+    for value, part in zip(values, parts[1:]):
+        pieces += [value, F.lit(part)]
+    return F.concat(*pieces)

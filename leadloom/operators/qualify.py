@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadloom import texts
 from leadloom.functions.instants import iso_text
 from leadloom.functions.replies import fit_reply
-from leadloom.functions.text import fact_text, hits
+from leadloom.functions.text import fact_text, filled_in, hits
 from leadloom.rules import DEFAULT_RULES, Rules
 
 VERDICT = ("decision", "rationale", "confidence", "fit_score", "domain", "source")
@@ -86,33 +87,27 @@ def _verdict(decision, rationale, confidence, score, source, domain=None) -> Col
 
 def size_verdict(employees: Column, rules: Rules = DEFAULT_RULES) -> Column:
     low, high = rules.size_bands[0][0], rules.size_bands[-1][1]
-    count = F.coalesce(employees.cast("string"), F.lit("None"))
-    why = F.concat(count, F.lit(f" employees is outside the ICP {low}-{high} band; dropped on size before website research."))
-    return _verdict("not_fit", why, "high", 0, "rule")
+    count = F.coalesce(employees.cast("string"), F.lit(texts.NO_COUNT))
+    before, after = texts.OUTSIDE_BAND
+    return _verdict("not_fit", F.concat(count, F.lit(f"{before}{low}-{high}{after}")), "high", 0, "rule")
 
 
 def keyword_verdict(targets: Column, disqualifiers: Column, scope: Column, countries: Column) -> Column:
     """Verdict from keyword hits and geography. Disqualifiers count only where no target is hit."""
     on_target, off_target = F.size(targets) > 0, F.size(disqualifiers) > 0
-    tag = "[offline heuristic] "
-    places = F.coalesce(F.nullif(F.array_join(countries, ", "), F.lit("")), F.lit("EU"))
-    source = "offline_heuristic"
+    places = F.coalesce(F.nullif(F.array_join(countries, ", "), F.lit("")), F.lit(texts.NO_PLACES))
+    first_three = F.array_join(F.slice(targets, 1, 3), ", ")
+
+    def verdict(decision: str, why: Column, confidence: str, score) -> Column:
+        return _verdict(decision, F.concat(F.lit(texts.OFFLINE_FIT), why), confidence, score, "offline_heuristic")
+
     return (
-        F.when(off_target & ~on_target, _verdict(
-            "not_fit",
-            F.concat(F.lit(tag + "LinkedIn signals a disqualified category ("), F.array_join(disqualifiers, ", "), F.lit(").")),
-            "medium", 10, source))
-        .when(on_target & scope, _verdict(
-            "fit",
-            F.concat(F.lit(tag + "LinkedIn industry/specialties match ICP biotech/pharma signals ("),
-                     F.array_join(F.slice(targets, 1, 3), ", "), F.lit("); hiring in-scope EU locations ("), places, F.lit(").")),
-            "medium", F.least(F.lit(90), 60 + 10 * F.size(targets)), source))
-        .when(on_target, _verdict(
-            "not_fit", tag + "Industry matches ICP but no in-scope EU/EEA/UK/CH/Norway hiring location was seen.",
-            "low", 30, source))
-        .otherwise(_verdict(
-            "not_fit", tag + "LinkedIn metadata does not clearly match the ICP target industries.",
-            "low", 20, source))
+        F.when(off_target & ~on_target, verdict(
+            "not_fit", filled_in(texts.DISQUALIFIED, F.array_join(disqualifiers, ", ")), "medium", 10))
+        .when(on_target & scope, verdict(
+            "fit", filled_in(texts.ON_TARGET, first_three, places), "medium", F.least(F.lit(90), 60 + 10 * F.size(targets))))
+        .when(on_target, verdict("not_fit", F.lit(texts.OUT_OF_SCOPE), "low", 30))
+        .otherwise(verdict("not_fit", F.lit(texts.NO_SIGNAL), "low", 20))
     )
 
 
@@ -183,20 +178,19 @@ def decide(
 
 
 # --- texts and audit rows ------------------------------------------------------------------------
-def fit_question(companies: DataFrame) -> Column:
+def fit_question() -> Column:
     """Question text per company, for whoever answers it outside."""
-    text = lambda c, missing: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(missing))
-    joined = lambda c: F.coalesce(F.nullif(F.array_join(c, ", "), F.lit("")), F.lit("unknown"))
-    count = F.coalesce(F.nullif(F.col("employees"), F.lit(0)).cast("string"), F.lit("unknown"))
-    return F.concat(
-        F.lit("Company: "), F.col("name"),
-        F.lit("\nLinkedIn industry: "), text("industry", "unknown"),
-        F.lit("\nEmployees (LinkedIn, may be a LOCAL/subsidiary entity not the global group): "), count,
-        F.lit("\nHeadquarters: "), text("headquarters", "unknown"),
-        F.lit("\nSpecialties: "), joined(F.col("specialties")),
-        F.lit("\nLinkedIn description: "), text("description", "n/a"),
-        F.lit("\nJob locations seen in scrape: "), joined(F.concat(F.col("cities"), F.col("countries"))),
-        F.lit("\n\nResearch this company's website and decide ICP fit. Return the JSON object."),
+    text = lambda c, missing: F.coalesce(F.nullif(c, F.lit("")), F.lit(missing))
+    listed = lambda c: text(F.array_join(c, ", "), texts.UNKNOWN)
+    return filled_in(
+        texts.FIT_QUESTION,
+        F.col("name"),
+        text(F.col("industry"), texts.UNKNOWN),
+        F.coalesce(F.nullif(F.col("employees"), F.lit(0)).cast("string"), F.lit(texts.UNKNOWN)),
+        text(F.col("headquarters"), texts.UNKNOWN),
+        listed(F.col("specialties")),
+        text(F.col("description"), texts.NOT_AVAILABLE),
+        listed(F.concat(F.col("cities"), F.col("countries"))),
     )
 
 

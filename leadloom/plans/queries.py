@@ -365,7 +365,7 @@ def q_audit_rows(spark, sf):
 @query
 def q_fit_question(spark, sf):
     c = b.companies(spark, sf)
-    text = qualify.fit_question(c)
+    text = qualify.fit_question()
     return c.select("company_key", F.md5(text).alias("text_md5"), F.length(text).cast("bigint").alias("text_chars"))
 
 

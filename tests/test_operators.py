@@ -1,10 +1,8 @@
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from leadloom.operators import checks, ingest, merge, people, qualify, rollup, validate
-from leadloom.rules import DEFAULT_RULES
 from leadloom.sources import feed as feeds
 
 

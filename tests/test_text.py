@@ -3,7 +3,6 @@ import re
 import unicodedata
 from datetime import datetime, timezone
 
-import pytest
 from pyspark.sql import functions as F
 
 from leadloom.functions import distance, instants, keys, replies, text
