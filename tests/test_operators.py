@@ -125,7 +125,7 @@ def test_settle_reasons(spark):
 
 def test_two_spellings_of_one_person_share_the_first_verdict(spark):
     rows = [("k", 0, 2, "Ana", "Head of HR", "same"), ("k", 1, 0, "Ana B", "Intern", "same"), ("k", 2, 0, "Cem", "Intern", "")]
-    df = validate.with_memo(spark.createDataFrame(rows, "company_key string, result_pos int, score int, full_name string, title string, linkedin_url string"))
+    df = validate.with_memo(spark.createDataFrame(rows, "company_key string, result_pos int, score int, full_name string, title string, linkedin_url string").withColumn("size_band", F.lit("50-200")))
     got = {r.result_pos: (r.memo, r.judged_title, r.is_first) for r in df.collect()}
     assert got == {0: ("same", "Head of HR", True), 1: ("same", "Head of HR", False), 2: ("Cem", "Intern", True)}
 
