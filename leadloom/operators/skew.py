@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # size bound and may be broadcast.
 MAX_HOT_KEYS = 20_000
 HOT_ROWS = 1_000_000
-MAX_PARTS = 1_024
+MAX_PARTS = 100_000
 
 
 def hot_keys(
