@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +28,20 @@ def local_session(cores: str = "*", app: str = "leadloom") -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``. Only where that is unset (a single
-    machine, as in tests) a temporary folder is made and remembered in the session."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="leadloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    """The shared folder for intermediates: that of ``spark.checkpoint.dir``, else that of
+    ``spark.leadloom.scratch``, else a folder in the session's warehouse. Executors and driver must
+    all reach it, so a path on a single machine's disk is refused where the master is not local."""
+    conf = spark.conf
+    named = conf.get("spark.checkpoint.dir", None) or conf.get("spark.leadloom.scratch", None)
+    if named:
+        return named.rstrip("/")
+    root = conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if root.startswith(("file:", "/")) and not conf.get("spark.master", "local").startswith("local"):
+        raise ValueError(
+            f"intermediates would go to {root}, which executors may not share: "
+            "name a shared folder in spark.checkpoint.dir or spark.leadloom.scratch"
+        )
+    return f"{root}/leadloom-scratch"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -12,7 +12,6 @@ from leadloom.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session("4", "leadloom-tests")
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
+    session.conf.set("spark.leadloom.scratch", str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
