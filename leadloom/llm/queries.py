@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leadloom.llm.quality import op9_pairwise_quality
 from leadloom.llm.sharding import op4_interleaved_shards
+from leadloom.llm.toxicity import op6_factorization_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_interleaved_shards": op4_interleaved_shards,
+    "op6_factorization_toxicity": op6_factorization_toxicity,
+    "op9_pairwise_quality": op9_pairwise_quality,
 }
 
 ORACLES: dict[str, str] = {}

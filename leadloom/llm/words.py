@@ -19,8 +19,11 @@ BLOCK_BYTES = 1 << 20
 LONG_WORD = 1 << 14
 
 _BASE = 0x9E3779B97F4A7C15
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: All ASCII but letters: what is left are runs of letters, accented and other scripts' ones included.
+NO_LETTER = np.ones(256, dtype=bool)
+NO_LETTER[65:91] = NO_LETTER[97:123] = NO_LETTER[128:] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: list[np.ndarray] = []
@@ -66,13 +69,14 @@ def lowered(block: Block) -> Block:
     return block._replace(data=_LOWER[block.data])
 
 
-def split(block: Block) -> Words:
+def split(block: Block, gaps: np.ndarray = SPACE) -> Words:
+    """Where words begin and end; ``gaps`` marks the bytes that are in no word."""
     n = len(block.data)
     if not n:
         none = np.zeros(0, dtype=np.int64)
         return Words(none, none, np.zeros(len(block.bounds), dtype=np.int64))
     gap = np.ones(n + 1, dtype=bool)  # gap[i]: no word goes on from byte i-1 to byte i
-    space = _SPACE[block.data]
+    space = gaps[block.data]
     gap[1:n] = space[:-1]
     gap[block.bounds] = True
     start = np.flatnonzero(gap[:n] & ~space)
