@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leadloom.llm.bpe import op3_token_counts
+from leadloom.llm.packing import op8_linear_grouping_packing
 from leadloom.llm.quality import op9_pairwise_quality
 from leadloom.llm.sharding import op4_interleaved_shards
 from leadloom.llm.toxicity import op6_factorization_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_counts": op3_token_counts,
     "op4_interleaved_shards": op4_interleaved_shards,
     "op6_factorization_toxicity": op6_factorization_toxicity,
+    "op8_linear_grouping_packing": op8_linear_grouping_packing,
     "op9_pairwise_quality": op9_pairwise_quality,
 }
 
