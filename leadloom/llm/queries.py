@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leadloom.llm.bpe import op3_token_counts
+from leadloom.llm.decontamination import op1_latent_decontamination
 from leadloom.llm.minhash import op2_bbit_minhash
 from leadloom.llm.packing import op8_linear_grouping_packing
 from leadloom.llm.quality import op9_pairwise_quality
@@ -14,6 +15,7 @@ from leadloom.llm.sharding import op4_interleaved_shards
 from leadloom.llm.toxicity import op6_factorization_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_latent_decontamination": op1_latent_decontamination,
     "op2_bbit_minhash": op2_bbit_minhash,
     "op3_token_counts": op3_token_counts,
     "op4_interleaved_shards": op4_interleaved_shards,

@@ -24,6 +24,9 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: All ASCII but letters: what is left are runs of letters, accented and other scripts' ones included.
 NO_LETTER = np.ones(256, dtype=bool)
 NO_LETTER[65:91] = NO_LETTER[97:123] = NO_LETTER[128:] = False
+#: The same with digits in words.
+NO_ALNUM = NO_LETTER.copy()
+NO_ALNUM[48:58] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: list[np.ndarray] = []
