@@ -34,16 +34,27 @@ PATTERN = (
 
 
 class Vocabulary(NamedTuple):
-    """``symbol``: id of each byte; merges as sorted pair keys with rank and result; special strings."""
+    """``symbol`` and ``final``: ids of each byte, and of each byte as the last one of a pre-token; ``slots``: an
+    open-addressed table of pair keys; ``ranks`` and ``results``: rank and merged id of the pair in a slot;
+    ``special``: special strings."""
 
     symbol: np.ndarray
-    keys: np.ndarray
+    final: np.ndarray
+    slots: np.ndarray
     ranks: np.ndarray
     results: np.ndarray
     base: int
     special: tuple[str, ...]
 
 
+_SLOT_BITS = 19
+_NO_PAIR = np.iinfo(np.int64).max
+
+
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
 def byte_letters() -> dict[int, str]:
     """The printable stand-in that byte-level vocabularies write for each byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -53,57 +64,80 @@ def byte_letters() -> dict[int, str]:
     return letters
 
 
-def vocabulary(path: str) -> Vocabulary:
-    """Reads a tokenizer file on the driver; workers get the arrays."""
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    ids = spec["model"]["vocab"]
-    letters = byte_letters()
-    symbol = np.array([ids[letters[b]] for b in range(256)], dtype=np.int64)
-    merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+def parsed(spec: str) -> Vocabulary:
+    """The vocabulary of a tokenizer file's text, as arrays."""
+    tree = json.loads(spec)
+    ids, letters = tree["model"]["vocab"], byte_letters()
+    end = tree["model"].get("end_of_word_suffix") or ""
+    merges = [m if isinstance(m, list) else m.split(" ") for m in tree["model"]["merges"]]
     base = max(ids.values()) + 1
+    slots = np.full(1 << _SLOT_BITS, -1, dtype=np.int64)
+    ranks, results = np.full(len(slots), _NO_PAIR), np.zeros(len(slots), dtype=np.int64)
     keys = np.array([ids[a] * base + ids[b] for a, b in merges], dtype=np.int64)
-    results = np.array([ids[a + b] for a, b in merges], dtype=np.int64)
-    order = np.argsort(keys, kind="stable")
-    special = tuple(t["content"] for t in spec.get("added_tokens") or ())
-    return Vocabulary(symbol, keys[order], order.astype(np.int64), results[order], base, special)
+    for rank, (key, at, (a, b)) in enumerate(zip(keys.tolist(), _slot(keys).tolist(), merges, strict=True)):
+        while slots[at] >= 0:
+            at = (at + 1) % len(slots)
+        slots[at], ranks[at], results[at] = key, rank, ids[a + b]
+    special = tuple(t["content"] for t in tree.get("added_tokens") or ())
+    symbol = np.array([ids[letters[b]] for b in range(256)], dtype=np.int64)
+    final = np.array([ids[letters[b] + end] for b in range(256)], dtype=np.int64)
+    return Vocabulary(symbol, final, slots, ranks, results, base, special)
 
 
-def merged_counts(pieces: list[bytes], voc: Vocabulary) -> np.ndarray:
-    """How many symbols are left of each pre-token when no pair can be merged any more."""
-    sizes = np.array([len(p) for p in pieces], dtype=np.int64)
-    counts = sizes.copy()
-    symbols = voc.symbol[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
-    owner = np.repeat(np.arange(len(pieces)), sizes)
-    none = len(voc.keys)
-    while len(symbols) > 1:
-        key = symbols[:-1] * voc.base + symbols[1:]
-        at = np.minimum(np.searchsorted(voc.keys, key), none - 1)
-        rank = np.where((voc.keys[at] == key) & (owner[:-1] == owner[1:]), voc.ranks[at], none)
-        rank = np.append(rank, none)
-        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        lowest = np.minimum.reduceat(rank, first)
-        active = np.repeat(lowest < none, np.diff(np.append(first, len(symbols))))
-        if not active.any():
-            break
-        # what is at an end leaves the array
-        counts[owner[first]] = np.diff(np.append(first, len(symbols)))
-        symbols, owner, rank = symbols[active], owner[active], rank[active]
-        at = np.append(at, 0)[active]
-        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+def vocabulary(path: str) -> Vocabulary:
+    """Reads a tokenizer file on the driver; workers get the arrays."""
+    with open(path, encoding="utf-8") as f:
+        return parsed(f.read())
+
+
+def pairs(keys: np.ndarray, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Rank (or _NO_PAIR) and slot of each pair key."""
+    at = _slot(keys)
+    held = voc.slots[at]
+    open_ = np.flatnonzero((held != keys) & (held >= 0))
+    while len(open_):
+        at[open_] = (at[open_] + 1) % len(voc.slots)
+        held[open_] = voc.slots[at[open_]]
+        open_ = open_[(held[open_] != keys[open_]) & (held[open_] >= 0)]
+    return np.where(held == keys, voc.ranks[at], _NO_PAIR), at
+
+
+def merged(symbols: np.ndarray, owner: np.ndarray, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols that are left when no pair can be merged any more. ``owner``: the pre-token of each symbol,
+    in ascending order. Each round merges the lowest-ranked pair of every pre-token at all its places."""
+    done = []
+    while len(symbols):
+        same = owner[:-1] == owner[1:]
+        key = np.where(same, symbols[:-1] * voc.base + symbols[1:], -1)
+        rank, at = np.full(len(symbols), _NO_PAIR), np.zeros(len(symbols), dtype=np.int64)
+        inside = np.flatnonzero(same)
+        rank[inside], at[inside] = pairs(key[inside], voc)
+        first = np.flatnonzero(np.append(True, ~same))
         lowest = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(symbols))))
+        active = lowest < _NO_PAIR
+        if not active.all():  # pre-tokens at their end leave the array
+            done.append((symbols[~active], owner[~active]))
+            symbols, owner, rank, at, lowest = symbols[active], owner[active], rank[active], at[active], lowest[active]
         place = np.flatnonzero(rank == lowest)
         # a pair of equal symbols may overlap itself: of each run of neighbours, every other place is taken
-        start = np.append(True, np.diff(place) != 1)
+        start = np.append(True, np.diff(place) != 1)[: len(place)]
         since = np.arange(len(place)) - np.flatnonzero(start)[np.cumsum(start) - 1]
         place = place[since % 2 == 0]
         symbols[place] = voc.results[at[place]]
         keep = np.ones(len(symbols), dtype=bool)
         keep[place + 1] = False
         symbols, owner = symbols[keep], owner[keep]
-        left = np.bincount(owner, minlength=len(pieces))
-        counts[np.unique(owner)] = left[left > 0]
-    return counts
+    symbols, owner = (np.concatenate([d[i] for d in done]) if done else np.zeros(0, np.int64) for i in (0, 1))
+    order = np.argsort(owner, kind="stable")
+    return symbols[order], owner[order]
+
+
+def merged_counts(pieces: list[bytes], voc: Vocabulary) -> np.ndarray:
+    """How many symbols are left of each pre-token."""
+    sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+    symbols = voc.symbol[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+    symbols[np.cumsum(sizes) - 1] = voc.final[[p[-1] for p in pieces]]
+    return np.bincount(merged(symbols, np.repeat(np.arange(len(pieces)), sizes), voc)[1], minlength=len(pieces))
 
 
 def text_counts(texts: list[str], voc: Vocabulary) -> np.ndarray:
@@ -172,7 +206,7 @@ def block_counts(block: Block, voc: Vocabulary, memory: dict[int, int]) -> np.nd
     value = np.concatenate([hashes(data, s, e) for s, e, _ in parts])
     s, e, r = (np.concatenate([p[i] for p in parts]) for i in range(3))
     code, unique = pd.factorize(value)
-    known = np.fromiter((memory.get(h, -1) for h in unique.tolist()), np.int64, len(unique))
+    known = np.array([memory.get(h, -1) for h in unique.tolist()], dtype=np.int64)
     new = np.flatnonzero(known < 0)
     if len(new):
         place = np.zeros(len(unique), dtype=np.int64)
