@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from leadloom.llm.bpe import op3_token_counts
 from leadloom.llm.decontamination import op1_latent_decontamination
+from leadloom.llm.fingerprints import op5_imatch_fingerprints
 from leadloom.llm.minhash import op2_bbit_minhash
 from leadloom.llm.packing import op8_linear_grouping_packing
 from leadloom.llm.quality import op9_pairwise_quality
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bbit_minhash": op2_bbit_minhash,
     "op3_token_counts": op3_token_counts,
     "op4_interleaved_shards": op4_interleaved_shards,
+    "op5_imatch_fingerprints": op5_imatch_fingerprints,
     "op6_factorization_toxicity": op6_factorization_toxicity,
     "op8_linear_grouping_packing": op8_linear_grouping_packing,
     "op9_pairwise_quality": op9_pairwise_quality,
