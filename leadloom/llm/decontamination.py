@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadloom.llm.words import NO_ALNUM, Block, blocks, hashes, lowered, split
+from leadloom.llm.words import NO_ALNUM, Block, blocks, hashes, split
 
 TERMS = 1 << 14
 RANK = 48
@@ -60,10 +60,9 @@ class Item(NamedTuple):
 
 
 def block_words(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (letters and digits, A-Z lower-cased), and where each row's words begin."""
-    low = lowered(block)
-    words = split(low, NO_ALNUM)
-    return hashes(low.data, words.start, words.end), words.bounds
+    """Hashes of the words (letters and digits) of lower-cased texts, and where each row's words begin."""
+    words = split(block, NO_ALNUM)
+    return hashes(block.data, words.start, words.end), words.bounds
 
 
 def runs(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,7 +153,7 @@ def _add_up(group: pd.DataFrame) -> pd.DataFrame:
 def semantic_space(docs: DataFrame, text: str = "text") -> Space:
     """The latent space of all passages of ``docs``. Each task gives one partial sum of a fixed size, in stripes
     of terms; stripes are added up in two levels, and the driver gets one sum."""
-    parts = docs.select(F.col(text), F.spark_partition_id().alias("_part")).mapInArrow(_sum_passages, _PARTIAL)
+    parts = docs.select(F.lower(text).alias("_text"), F.spark_partition_id().alias("_part")).mapInArrow(_sum_passages, _PARTIAL)
     some = parts.withColumn("part", F.col("part") % 256).groupBy("stripe", "part").applyInPandas(_add_up, _PARTIAL)
     rows = some.groupBy("stripe").applyInPandas(_add_up, _PARTIAL).orderBy("stripe").collect()
     if not rows or not rows[0]["passages"]:
@@ -294,7 +293,7 @@ def search(block: Block, wanted: list[Query], space: Space) -> Iterator[tuple]:
 
 def read_items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> list[Item]:
     """The items on the driver, in a bounded number. The answer is the last quarter of an item's words, three at least."""
-    table = benchmark.select(F.col(item).cast("long").alias("i"), F.col(text).alias("t")).where("i is not null").toArrow()
+    table = benchmark.select(F.col(item).cast("long").alias("i"), F.lower(text).alias("t")).where("i is not null").toArrow()
     out = []
     for block in blocks(table["t"]):
         words, bounds = block_words(block)
@@ -342,7 +341,7 @@ def find_leaks(
                 rest = [pa.array(c, t) for c, t in zip(columns[1:], _TYPES, strict=True)]
                 yield pa.RecordBatch.from_arrays([keys, *rest], [f.name for f in schema])
 
-        found = found.unionByName(docs.select(key, text).mapInArrow(scan, schema))
+        found = found.unionByName(docs.select(key, F.lower(text).alias("_text")).mapInArrow(scan, schema))
     return found
 
 
