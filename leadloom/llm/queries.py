@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from leadloom.llm.bpe import op3_token_counts
 from leadloom.llm.decontamination import op1_latent_decontamination
 from leadloom.llm.fingerprints import op5_imatch_fingerprints
+from leadloom.llm.licenses import op7_license_scan
 from leadloom.llm.minhash import op2_bbit_minhash
 from leadloom.llm.packing import op8_linear_grouping_packing
 from leadloom.llm.quality import op9_pairwise_quality
 from leadloom.llm.sharding import op4_interleaved_shards
 from leadloom.llm.toxicity import op6_factorization_toxicity
+from leadloom.llm.warc import OP10_SQL, op10_revisit_resolution
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_latent_decontamination": op1_latent_decontamination,
@@ -22,8 +24,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_interleaved_shards": op4_interleaved_shards,
     "op5_imatch_fingerprints": op5_imatch_fingerprints,
     "op6_factorization_toxicity": op6_factorization_toxicity,
+    "op7_license_scan": op7_license_scan,
     "op8_linear_grouping_packing": op8_linear_grouping_packing,
     "op9_pairwise_quality": op9_pairwise_quality,
+    "op10_revisit_resolution": op10_revisit_resolution,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_revisit_resolution": OP10_SQL}
