@@ -15,6 +15,7 @@ Documents find their interval by their rank within their length.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadloom.llm.bpe import Vocabulary, merged, parsed
 from leadloom.llm.ranks import bucket_count, ranked, unit, unit_bucket
 from leadloom.llm.worker import kept
 from leadloom.llm.words import Block, blocks, hashes, split
@@ -37,7 +39,7 @@ GROUPS = 96
 #: Lengths above this part of the capacity are large.
 LARGE_PART = 3
 #: Words a worker remembers before it starts anew; bounds its memory, not its results.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 
 
 class Interval(NamedTuple):
@@ -206,6 +208,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS)
 
 
 def _encoder(spec: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task for each core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(spec)
@@ -227,9 +230,7 @@ class Memory:
         self.size = np.zeros(1 << 16, dtype=np.int64)
         self.used = 0
 
-    def add(self, keys: list[int], ids: list[list[int]]) -> None:
-        flat = np.array([i for x in ids for i in x], dtype=np.uint32)
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
+    def add(self, keys: list[int], flat: np.ndarray, sizes: np.ndarray) -> None:
         n, more = len(self.number), len(keys)
         while len(self.pool) < self.used + len(flat):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
@@ -243,24 +244,67 @@ class Memory:
         self.used += len(flat)
 
 
-def block_ids(block: Block, tokenizer, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
+_LETTER, _DIGIT, _OTHER, _ODD = 0, 1, 2, 3
+_CLASS = np.full(256, _LETTER, dtype=np.int8)
+_CLASS[:128] = _OTHER
+_CLASS[48:58] = _DIGIT
+_CLASS[97:123] = _CLASS[65:91] = _LETTER
+_CLASS[:33] = _CLASS[[39, 127]] = _ODD
+
+
+def word_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray, voc: Vocabulary, tokenizer) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words, one after the other, and how many each has. Words of ASCII and the Latin letters of the
+    next block are lower-cased, cut where the kind of character changes and merged as arrays; words
+    with anything else (other scripts, apostrophes, control characters, special strings) go to the library."""
+    sizes = end - start
+    at = np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    byte, owner = data[at], np.repeat(np.arange(len(start)), sizes)
+    lead = byte == 0xC3
+    second = np.append(False, lead[:-1])
+    odd = (_CLASS[byte] == _ODD) | ((byte >= 0x80) & ~lead & ~second) | (second & ((byte == 0x97) | (byte == 0xB7) | (byte < 0x80)))
+    odd |= (byte == 0x7C) & np.append(False, byte[:-1] == 0x3C)  # special strings begin with <|
+    strange = np.unique(owner[odd])
+    plain = np.ones(len(start), dtype=bool)
+    plain[strange] = False
+    keep = plain[owner]
+    byte, owner, second = byte[keep], owner[keep], second[keep]
+    byte = np.where((byte >= 65) & (byte < 91) | second & (byte >= 0x80) & (byte < 0x9F), byte + 32, byte).astype(np.uint8)
+    kind = _CLASS[byte]
+    begin = np.ones(len(byte), dtype=bool)
+    begin[1:] = (owner[1:] != owner[:-1]) | (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    token = np.cumsum(begin) - 1
+    symbols = voc.symbol[byte]
+    last = np.append(begin[1:], True)[: len(byte)]
+    symbols[last] = voc.final[byte[last]]
+    flat, of_token = merged(symbols, token, voc)
+    word = owner[np.flatnonzero(begin)][of_token] if len(flat) else of_token
+    if len(strange):
+        texts = [data[start[p] : end[p]].tobytes().decode() for p in strange.tolist()]
+        encoded = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate([flat, np.array([i for ids in encoded for i in ids], dtype=np.int64)])
+        word = np.concatenate([word, np.repeat(strange, [len(ids) for ids in encoded])])
+        order = np.argsort(word, kind="stable")
+        flat, word = flat[order], word[order]
+    return flat.astype(np.uint32), np.bincount(word, minlength=len(start))
+
+
+def block_ids(block: Block, voc: Vocabulary, tokenizer, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the block's rows, one row after the other, and how many each row has. The vocabulary drops
-    white space and never joins words, so each distinct word is encoded by the library once."""
+    white space and never joins words, so each distinct word is encoded once."""
     words = split(block)
     rows = len(block.bounds) - 1
     row = np.repeat(np.arange(rows), np.diff(words.bounds))
     code, unique = pd.factorize(hashes(block.data, words.start, words.end))
     if len(memory.number) + len(unique) > REMEMBERED and memory.number:
         memory.forget()
-    known = np.fromiter((memory.number.get(h, -1) for h in unique.tolist()), np.int64, len(unique))
+    known = np.array([memory.number.get(h, -1) for h in unique.tolist()], dtype=np.int64)
     new = np.flatnonzero(known < 0)
     if len(new):
         place = np.zeros(len(unique), dtype=np.int64)
         place[code[::-1]] = np.arange(len(code))[::-1]
-        texts = [block.data[words.start[p] : words.end[p]].tobytes().decode() for p in place[new].tolist()]
-        encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         known[new] = len(memory.number) + np.arange(len(new))
-        memory.add(unique[new].tolist(), [e.ids for e in encoded])
+        at = place[new]
+        memory.add(unique[new].tolist(), *word_ids(block.data, words.start[at], words.end[at], voc, tokenizer))
     number = known[code]
     sizes = memory.size[number] if len(number) else np.zeros(0, np.int64)
     begin = np.cumsum(sizes) - sizes
@@ -290,10 +334,11 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = kept(("tokenizer", zlib.crc32(spec.encode())), lambda: _encoder(spec))
+        voc = kept(("vocabulary", zlib.crc32(spec.encode())), lambda: parsed(spec))
         memory = kept(("ids", zlib.crc32(spec.encode())), Memory)
         for batch in batches:
             for block in blocks(batch.column(1)):
-                flat, sizes = block_ids(block, tokenizer, memory)
+                flat, sizes = block_ids(block, voc, tokenizer, memory)
                 source, piece, start, length, crc, parts = [], [], [], [], [], []
                 at = 0
                 for i, n in enumerate(sizes.tolist()):
