@@ -165,16 +165,16 @@ WITH urls AS (
   SELECT *, lower(split_part(split_part(rest, '/', 1), '?', 1)) AS host, split_part(rest, '?', 1) AS front,
          CASE WHEN strpos(rest, '?') > 0 THEN substr(rest, strpos(rest, '?') + 1) ELSE '' END AS query FROM split
 ), named AS (
+  SELECT *, [x FOR x IN string_split(query, '&') IF x <> '' AND NOT x LIKE 'utm%' AND NOT x LIKE 'ref=%'] AS kept FROM cut
+), spelled AS (
   SELECT *, regexp_replace(host, '^www\.', '') || rtrim(substr(front, length(host) + 1), '/') ||
-    CASE WHEN len(list_filter(string_split(query, '&'), x -> x <> '' AND NOT x LIKE 'utm%' AND NOT x LIKE 'ref=%')) > 0
-      THEN '?' || array_to_string(list_sort(list_filter(string_split(query, '&'), x -> x <> '' AND NOT x LIKE 'utm%' AND NOT x LIKE 'ref=%')), '&')
-      ELSE '' END AS canonical FROM cut
+    CASE WHEN len(kept) > 0 THEN '?' || array_to_string(list_sort(kept), '&') ELSE '' END AS canonical FROM named
 ), last_full AS (
-  SELECT * FROM named WHERE status = 200
+  SELECT * FROM spelled WHERE status = 200
   QUALIFY row_number() OVER (PARTITION BY canonical, captured_at ORDER BY record_id DESC) = 1
 ), paired AS (
   SELECT a.*, b.record_id AS b_id, b.captured_at AS b_at, b.etag AS b_etag, b.modified AS b_modified, b.page_id AS b_page, b.n AS b_n
-  FROM (SELECT * FROM named WHERE status = 304) a
+  FROM (SELECT * FROM spelled WHERE status = 304) a
   ASOF LEFT JOIN last_full b ON a.canonical = b.canonical AND a.captured_at > b.captured_at
 ), judged AS (
   SELECT *, CASE WHEN b_id IS NULL THEN 'no_response'
