@@ -19,6 +19,15 @@ def _stars(links: DataFrame) -> DataFrame:
     return small.unionByName(least.select("a", F.col("_m").alias("b"))).distinct()
 
 
+def _is_done(links: DataFrame) -> bool:
+    """Whether every node leads to one other only, and that one leads nowhere."""
+    n = links.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("a").alias("a")).first()
+    if n["n"] != n["a"]:
+        return False
+    inner = links.select(F.col("b").alias("_b")).distinct()
+    return inner.join(links.select("a"), F.col("_b") == F.col("a"), "left_semi").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``label`` (the smallest node of its component) for every node of ``links`` but the smallest
     ones themselves. ``links``: columns ``a`` and ``b`` of whole numbers, in either order; links of a node
@@ -27,10 +36,6 @@ def components(links: DataFrame) -> DataFrame:
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
     mark = None
-    while True:
-        # done when every link leads from a node straight to its component's smallest and nothing changes
-        seen = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if not seen["n"] or (seen["n"], seen["s"]) == mark:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("label"))
-        mark = (seen["n"], seen["s"])
+    while not _is_done(now):
         now = written(_stars(now), "links")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("label"))

@@ -5,8 +5,8 @@ and the low four bits of every minimum are packed into bit planes, from which a
 estimated by counting equal positions and correcting for chance collisions. What the estimate lets
 through is confirmed on the full sets, and confirmed links are joined into components.
 
-Within a bucket not all pairs are made. Every member is first compared with one hub of the bucket (another hub
-in every bucket, so a group is held together by many). Only where a bucket then still spans several
+Within a bucket not all pairs are made. Every member is first compared with one hub of the bucket (its first
+member in a random order of all nodes, so that the buckets of a group share a few hubs). Only where a bucket then still spans several
 components, the members outside its largest one are compared with the whole bucket, in blocks; so every
 pair of a bucket is either compared or already known to be connected.
 """
@@ -165,12 +165,25 @@ def least_estimate(percent: int) -> float:
     return percent / 100 - SLACK * math.sqrt(p * (1 - p) / MINIMA) / (1 - chance)
 
 
-def _labelled(rows: DataFrame, labels: DataFrame | None, node: str, label: str) -> DataFrame:
-    """``rows`` with the label of the node in column ``node``; a node without a label is its own."""
-    if labels is None:
-        return rows.withColumn(label, F.col(node))
-    own = labels.select(F.col("node").alias(node), F.col("label").alias("_own"))
-    return rows.join(own, node, "left").withColumn(label, F.coalesce("_own", node)).drop("_own")
+def _labelled(rows: DataFrame, maps: list[DataFrame], node: str, label: str) -> DataFrame:
+    """``rows`` with the label of the node in column ``node``, by one map after the other; what a map does not
+    hold stays as it is."""
+    rows = rows.withColumn(label, F.col(node))
+    for m in maps:
+        m = m.select(F.col("node").alias(label), F.col("label").alias("_to"))
+        rows = rows.join(m, label, "left").withColumn(label, F.coalesce("_to", label)).drop("_to")
+    return rows
+
+
+def _between(pairs: DataFrame, maps: list[DataFrame]) -> DataFrame:
+    """``pairs`` that lead from one component to another, with the labels ``_la`` and ``_lb``."""
+    return _labelled(_labelled(pairs, maps, "a", "_la"), maps, "b", "_lb").where("_la <> _lb")
+
+
+def _joined(links: DataFrame, maps: list[DataFrame]) -> list[DataFrame]:
+    """The maps and one more, that of the components which ``links`` join."""
+    between = _between(links, maps).select(F.col("_la").alias("a"), F.col("_lb").alias("b"))
+    return [*maps, components(between)]
 
 
 def near_duplicates(
@@ -196,7 +209,7 @@ def near_duplicates(
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     hubs = (
         banded.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("m"), F.min_by("node", F.xxhash64("node", "bucket")).alias("hub"))
+        .agg(F.count(F.lit(1)).alias("m"), F.min_by("node", F.xxhash64("node")).alias("hub"))
         .where("m > 1")
     )
     shared = written(banded.join(hubs, "bucket"), "buckets")  # members of the buckets that hold several
@@ -228,16 +241,11 @@ def near_duplicates(
 
     # first each node's likeliest hub, then what still leads from one component to another
     best = spokes.groupBy("a").agg(F.max_by("b", F.struct("estimate", F.col("b"))).alias("b"))
-    links = written(confirmed(best), "confirmed")
-    labels = components(links)
-    rest = _labelled(_labelled(spokes, labels, "a", "_la"), labels, "b", "_lb").where("_la <> _lb")
-    more = written(confirmed(rest.join(best, ["a", "b"], "left_anti")), "confirmed")
-    links = links.unionByName(more)
-    labels = components(links)
-    links = links.unionByName(written(confirmed(_across(shared, labels, signature, least)), "confirmed"))
-    labels = components(links)
-
-    own = _labelled(nodes.select("node", "digest", F.col("_key").alias("_least")), labels, "node", "label")
+    maps = [components(written(confirmed(best), "confirmed"))]
+    maps = _joined(written(confirmed(_between(spokes, maps)), "confirmed"), maps)
+    maps = _joined(written(confirmed(_across(shared, maps, signature, least)), "confirmed"), maps)
+
+    own = _labelled(nodes.select("node", "digest", F.col("_key").alias("_least")), maps, "node", "label")
     smallest = own.groupBy("label").agg(F.min("_least").alias("component_id"))
     by_digest = own.join(smallest, "label").select("digest", "component_id")
     found = thin.join(by_digest, "digest", "left")
@@ -267,10 +275,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -
     return written(found, "sets")
 
 
-def _across(shared: DataFrame, labels: DataFrame, signature: DataFrame, least: float) -> DataFrame:
+def _across(shared: DataFrame, maps: list[DataFrame], signature: DataFrame, least: float) -> DataFrame:
     """Pairs of a bucket that lie in different components and that the signatures let through. The members
     outside a bucket's largest component meet all of its members, block by block."""
-    members = written(_labelled(shared.select("bucket", "m", "node"), labels, "node", "label"), "members")
+    members = written(_labelled(shared.select("bucket", "m", "node"), maps, "node", "label"), "members")
     largest = (
         members.groupBy("bucket", "label")
         .agg(F.count(F.lit(1)).alias("_n"))
