@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions.text import bound, filled, strip_space
@@ -89,3 +89,11 @@ def person_reply(reply: Column) -> Column:
         )
 
     return bound(reply_object(reply), verdict)
+
+
+def latest_replies(replies: DataFrame, *keys: str) -> DataFrame:
+    """One ``reply`` per key: the one with the latest ``replied_at`` where replies carry it, and of those with
+    equal or no times the last in the order of texts. Null replies count only where there is no other."""
+    order = F.struct("replied_at", "reply") if "replied_at" in replies.columns else F.struct("reply")
+    given = F.when(F.col("reply").isNotNull(), order)
+    return replies.groupBy(*keys).agg(F.max_by("reply", given).alias("reply"))

@@ -65,7 +65,7 @@ def fold_accents(text: Column) -> Column:
     """Compatibility-decompose and drop combining marks.
 
     ASCII texts pass straight through. Of the others, most are ASCII once single characters are
-    translated; the mark class and the per-character lookup only run on what is left. The look-ahead
+    translated; the mark class and the lookup of characters that fold to several only run on what is left. The look-ahead
     keeps the long classes away from ASCII characters."""
     src, dst, marks, many, many_class = _fold_tables()
     beyond = r"[^\x00-\x7F]"
@@ -85,8 +85,10 @@ def fold_accents(text: Column) -> Column:
         return F.when(hangul, jamo).otherwise(F.coalesce(F.try_element_at(table, c), c))
 
     def by_character(t: Column) -> Column:
-        chars = F.regexp_extract_all(t, F.lit("(?s)(.)"), F.lit(1))
-        return F.when(t.rlike(f"(?={beyond}){many_class}"), F.array_join(F.transform(chars, expand), "")).otherwise(t)
+        # the few different characters that fold to several, each replaced in the whole text at once
+        met = F.array_distinct(F.regexp_extract_all(t, F.lit(f"((?={beyond}){many_class})"), F.lit(1)))
+        folded = F.aggregate(met, t, lambda done, c: F.replace(done, c, expand(c)))
+        return F.when(t.rlike(f"(?={beyond}){many_class}"), folded).otherwise(t)
 
     def by_class(t: Column) -> Column:
         return F.when(t.rlike(beyond), bound(F.regexp_replace(t, f"(?={beyond}){marks}", ""), by_character)).otherwise(t)

@@ -101,6 +101,8 @@ def select_source(
     """Selection that a posting source applies itself: title phrases, locations, employment types,
     time window, no agencies, at most ``rows`` rows (5,000 is the ceiling). Ordering with a limit
     plans as a top-k per partition, not as a total sort."""
+    if not 0 <= rows <= MAX_SOURCE_ROWS:
+        raise ValueError(f"a source answers 0 to {MAX_SOURCE_ROWS} rows, not {rows}")
     title = F.lower(F.col("title"))
     named = reduce(lambda a, b: a | b, [title.contains(p.lower()) for p in rules.title_phrases])
     places = F.col("locations_derived")
@@ -110,5 +112,5 @@ def select_source(
     return (
         jobs.filter(within & ~F.col("is_recruitment_agency") & kinds & named & placed)
         .orderBy(*order)
-        .limit(min(rows, MAX_SOURCE_ROWS))
+        .limit(rows)
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadloom import texts
 from leadloom.functions.instants import iso_text
-from leadloom.functions.replies import fit_reply
+from leadloom.functions.replies import fit_reply, latest_replies
 from leadloom.functions.text import fact_text, filled_in, hits
 from leadloom.rules import DEFAULT_RULES, Rules
 
@@ -127,7 +127,7 @@ def rule_verdict(rules: Rules = DEFAULT_RULES) -> Column:
 def evaluate(companies: DataFrame, rules: Rules = DEFAULT_RULES, replies: DataFrame | None = None) -> DataFrame:
     """Fresh verdicts, in this precedence: size rule, supplied reply, keyword rules.
 
-    ``replies`` is (company_key, reply), at most one row per company. A reply that holds no JSON
+    ``replies`` is (company_key, reply and, if known, replied_at); of several per company the latest counts. A reply that holds no JSON
     object falls to the keyword rules with low confidence. Adds ``size_band``, the verdict columns and
     ``odd_confidence`` (a reply named a confidence outside the domain)."""
     band = size_band(F.col("employees"), rules)
@@ -136,7 +136,7 @@ def evaluate(companies: DataFrame, rules: Rules = DEFAULT_RULES, replies: DataFr
         joined = companies.withColumn("r", none.cast("struct<ok: boolean>"))
         given, odd = rule_verdict(rules), F.lit(False)
     else:
-        joined = companies.join(replies.select("company_key", "reply"), "company_key", "left")
+        joined = companies.join(latest_replies(replies, "company_key"), "company_key", "left")
         joined = joined.withColumn("r", F.when(F.col("reply").isNotNull(), fit_reply(F.col("reply"))))
         reply = _verdict(F.col("r.decision"), F.col("r.rationale"), F.col("r.confidence"), F.col("r.fit_score"), "llm_web", F.col("r.domain"))
         given = F.when(F.col("r.ok"), reply).otherwise(rule_verdict(rules))

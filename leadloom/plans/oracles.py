@@ -566,7 +566,7 @@ SELECT s_suppkey, coalesce(CASE WHEN {S} % 2 = 0 THEN {person_name(S)} END, arra
 FROM supplier JOIN nation ON s_nationkey = n_nationkey
 """)
 oracle("q_seniority_topk", f"SELECT company_key, result_pos, full_name, {e('title')} AS title, CAST(score AS BIGINT) AS score FROM x_best")
-CTE["x_few"] = "SELECT * FROM x_people WHERE result_pos % 7 = 0"
+CTE["x_few"] = "SELECT * REPLACE (CASE WHEN result_pos % 7 = 0 THEN company_key ELSE 'other ' || company_key END AS company_key) FROM x_people"
 CTE["x_few_best"] = best("x_few", "x_targets")
 oracle("q_query_outcomes", """
 SELECT company_key, target_title, CASE WHEN n > 0 THEN 'company' ELSE '' END AS cascade_level, CASE WHEN n > 0 THEN 'prospeo' ELSE '' END AS provider,
@@ -598,13 +598,13 @@ FROM x_memo m JOIN x_postings p USING (company_key) JOIN x_corp c USING (company
 JOB_TEXTS = ("title", "organization", "description_text", "url", "seniority", "city", "region", "country")
 
 
-def order_rows(version: str, modulus: int) -> str:
+def order_rows(version: str, condition: str) -> str:
     texts = ", ".join(f"'{version} {c} ' || o_orderpriority AS {c}" for c in JOB_TEXTS)
-    return f"SELECT 'J' || {s('o_orderkey')} AS id, o_orderkey AS n, {texts} FROM orders WHERE o_orderkey % {modulus} <> 0"
+    return f"SELECT 'J' || {s('o_orderkey')} AS id, o_orderkey AS n, {texts} FROM orders WHERE {condition}"
 
 
-CTE["x_old_jobs"] = order_rows("old", 3)
-CTE["x_new_jobs"] = order_rows("new", 5)
+CTE["x_old_jobs"] = order_rows("old", "o_orderkey % 3 <> 0")
+CTE["x_new_jobs"] = order_rows("new", "o_orderkey % 5 <> 0 OR o_orderkey % 3 = 0")
 CTE["x_merged_jobs"] = "SELECT id, " + ", ".join(
     [f"CASE WHEN nw.id IS NOT NULL THEN nw.{c} ELSE od.{c} END AS {c}" for c in ("title", "organization", "description_text", "n")]
     + [f"CASE WHEN od.id IS NOT NULL THEN od.{c} ELSE nw.{c} END AS {c}" for c in ("url", "seniority", "city", "region", "country")]
@@ -620,7 +620,7 @@ SELECT company_key AS linkedin_slug, {row_id('company_key')} AS id, CASE WHEN nw
   CASE WHEN od THEN 'old industry' ELSE {e('industry')} END AS industry,
   coalesce(CASE WHEN nw AND k % 5 = 0 THEN 'new.example' END, CASE WHEN od AND k % 2 = 0 THEN 'old.example' END, '') AS domain, decision, CAST(coalesce(fit_score, -1) AS BIGINT) AS fit_score,
   CASE WHEN nw THEN 'new' ELSE 'old' END AS checked_at, CASE WHEN nw THEN 'new' ELSE 'old' END AS updated_at, CASE WHEN od THEN 'old' ELSE 'new' END AS created_at, CAST(nw AND NOT od AS INT) AS created
-FROM (SELECT *, first_seq AS k, first_seq % 3 <> 0 AS od, first_seq % 4 <> 0 AS nw FROM x_judged) WHERE od OR nw
+FROM (SELECT *, first_seq AS k, first_seq % 3 <> 0 AS od, first_seq % 4 <> 0 OR first_seq % 3 = 0 AS nw FROM x_judged) WHERE od OR nw
 """)
 CTE["x_contact_batch"] = f"""
 SELECT {contact_key(person_url('l_suppkey'), person_name('l_suppkey'), "''", "'site.example'")} AS dedup_key, {row_id(s('l_orderkey'))} AS company_id, {person_name('l_suppkey')} AS full_name,
@@ -638,7 +638,7 @@ FROM (SELECT dedup_key, arg_min(company_id, pos) AS company_id, arg_min(full_nam
 oracle("q_upsert_queries", f"""
 SELECT {row_id('company_key')} AS company_id, target_title, CASE WHEN od THEN 'old id' ELSE {row_id('company_key', 'target_title')} END AS id, CASE WHEN nw THEN 'prospeo' ELSE '' END AS provider,
   CAST(CASE WHEN nw THEN 2 ELSE 0 END AS BIGINT) AS result_count, CASE WHEN nw THEN 'hit' ELSE 'no_candidate' END AS outcome, CASE WHEN nw THEN 'new' ELSE 'old' END AS queried_at, CAST(nw AND NOT od AS INT) AS created
-FROM (SELECT *, first_seq % 2 = 0 AS od, first_seq % 3 <> 0 AS nw FROM x_targets) WHERE od OR nw
+FROM (SELECT *, first_seq % 2 = 0 AS od, first_seq % 3 <> 0 OR first_seq % 2 <> 0 AS nw FROM x_targets) WHERE od OR nw
 """)
 
 # --- checks and reports --------------------------------------------------------------------------

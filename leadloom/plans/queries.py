@@ -427,7 +427,9 @@ def q_seniority_topk(spark, sf):
 @query
 def q_query_outcomes(spark, sf):
     targets = _targets(spark, sf)
-    found = b.people(spark, sf).filter(F.col("result_pos") % 7 == 0)
+    # six people of seven were found under a key that no company has
+    elsewhere = F.when(F.col("result_pos") % 7 == 0, F.col("company_key")).otherwise(F.concat(F.lit("other "), "company_key"))
+    found = b.people(spark, sf).withColumn("company_key", elsewhere)
     return ppl.query_outcomes(targets, ppl.people_of(targets, found)).select(
         "company_key", "target_title", or_empty("cascade_level").alias("cascade_level"), or_empty("provider").alias("provider"),
         F.col("result_count").cast("bigint").alias("result_count"), "outcome",
@@ -510,7 +512,7 @@ def _order_rows(spark, sf, version: str) -> DataFrame:
         F.concat(F.lit("J"), o.cast("string")).alias("id"), o.alias("n"), F.col("o_orderdate").alias("posted"),
         *[v.alias(c) for c, v in texts.items()],
     )
-    return rows.filter(o % 3 != 0) if version == "old" else rows.filter(o % 5 != 0)
+    return rows.filter(o % 3 != 0) if version == "old" else rows.filter((o % 5 != 0) | (o % 3 == 0))
 
 
 JOB_POLICY = merge.Upsert(
@@ -547,7 +549,7 @@ def _company_versions(spark, sf) -> tuple[DataFrame, DataFrame]:
         "name": F.concat(F.lit("old "), "name"), "normalized_name": F.lit("old norm"), "industry": F.lit("old industry"),
         "domain": F.when(F.col("k") % 2 == 0, "old.example"), "checked_at": stamp("old"), "updated_at": stamp("old"), "created_at": stamp("old"),
     })
-    new = rows.filter(F.col("k") % 4 != 0).withColumns({
+    new = rows.filter((F.col("k") % 4 != 0) | (F.col("k") % 3 == 0)).withColumns({
         "domain": F.when(F.col("k") % 5 == 0, "new.example"), "checked_at": stamp("new"), "updated_at": stamp("new"), "created_at": stamp("new"),
     })
     return old, new
@@ -601,7 +603,7 @@ def q_upsert_queries(spark, sf):
     stored = rows.filter(F.col("k") % 2 == 0).withColumns({
         "id": F.lit("old id"), "outcome": F.lit("no_candidate"), "result_count": F.lit(0), "queried_at": F.lit("old"), "provider": F.lit(None).cast("string"),
     })
-    merged = merge.keyed_merge(stored, rows.filter(F.col("k") % 3 != 0), merge.QUERIES)
+    merged = merge.keyed_merge(stored, rows.filter((F.col("k") % 3 != 0) | (F.col("k") % 2 != 0)), merge.QUERIES)
     return merged.select("company_id", "target_title", "id", or_empty("provider").alias("provider"), F.col("result_count").cast("bigint").alias("result_count"), "outcome", "queried_at", F.col("created").cast("int").alias("created"))
 
 

@@ -1,7 +1,9 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from leadloom.functions.replies import latest_replies
 from leadloom.operators import checks, ingest, merge, people, qualify, rollup, validate
 from leadloom.sources import feed as feeds
 
@@ -159,3 +161,16 @@ def test_disqualifier_hidden_by_a_target(spark):
     got = qualify.evaluate(df).orderBy("i").collect()
     assert [r.decision for r in got] == [r.want for r in got]
     assert [(r.fit_score, r.confidence) for r in got] == [(70, "medium"), (30, "low"), (10, "medium"), (20, "low")]
+
+
+def test_the_latest_reply_counts_and_none_multiplies(spark):
+    replies = spark.createDataFrame(
+        [("a", "old", 1), ("a", "new", 2), ("a", None, 3), ("b", "x", None), ("b", "x", None), ("c", None, 1)], "k string, reply string, replied_at int"
+    )
+    assert sorted(map(tuple, latest_replies(replies, "k").collect())) == [("a", "new"), ("b", "x"), ("c", None)]
+    assert latest_replies(replies.drop("replied_at"), "k").where("k = 'a'").first().reply == "old"
+
+
+def test_a_source_refuses_more_rows_than_it_answers(spark):
+    with pytest.raises(ValueError, match="5000"):
+        ingest.select_source(spark.createDataFrame([], "id string"), F.current_timestamp(), ["id"], rows=5001)

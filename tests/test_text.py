@@ -188,3 +188,9 @@ def test_distances_against_brute_force(spark):
         "a", "b", distance.common_subsequence(a, b).alias("lcs"), distance.is_close(a, b, 2, 90).alias("close"), distance.edits_within(a, b, 2).alias("near"))
     for r in df.collect():
         assert (r.lcs, r.close, r.near) == (_lcs(r.a, r.b), close(r.a, r.b), _lev(r.a, r.b) <= 2), (r.a, r.b)
+
+
+def test_long_texts_with_characters_that_fold_to_several(spark):
+    long = "plain words " * 20_000 + "… ™ ﬁ 한국 é ½ " * 50
+    want = "".join(c for c in unicodedata.normalize("NFKD", long) if not unicodedata.combining(c))
+    assert one(spark, [long], text.fold_accents) == [want]
