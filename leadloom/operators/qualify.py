@@ -36,6 +36,10 @@ def _by_band(employees: Column, value, rules: Rules) -> Column:
     return chain
 
 
+#: Rows that a band table may have.
+MAX_BANDS = 1_000
+
+
 def size_band(employees: Column, rules: Rules = DEFAULT_RULES) -> Column:
     """Band label; null outside every band and for an unknown count."""
     return _by_band(employees, lambda label, titles: F.lit(label), rules)
@@ -51,16 +55,18 @@ def lead_title(employees: Column, rules: Rules = DEFAULT_RULES) -> Column:
 
 
 def join_bands(companies: DataFrame, bands: DataFrame, employees: str = "employees") -> DataFrame:
-    """Band lookup as a range join against the band table (a handful of rows, broadcast)."""
+    """Band lookup as a range join against the band table: a handful of rows, broadcast after their count is
+    checked."""
+    if bands.limit(MAX_BANDS + 1).count() > MAX_BANDS:
+        raise ValueError(f"a table of more than {MAX_BANDS} bands is no rule table; join it by ranges of its own")
     inside = F.col(employees).between(F.col("low"), F.col("high"))
     return companies.join(F.broadcast(bands), inside, "left").drop("low", "high")
 
 
 def join_regions(companies: DataFrame, regions: DataFrame, country: str) -> DataFrame:
-    """Region bucket of a country name (a few dozen rows, broadcast); null outside all buckets."""
-    return companies.join(
-        F.broadcast(regions), F.lower(F.trim(F.col(country))) == F.col("country_key"), "left"
-    ).drop("country_key")
+    """Region bucket of a country name; null outside all buckets. Whether the table is broadcast is left to its
+    real size."""
+    return companies.join(regions, F.lower(F.trim(F.col(country))) == F.col("country_key"), "left").drop("country_key")
 
 
 def in_scope(countries: Column, rules: Rules = DEFAULT_RULES) -> Column:

@@ -174,3 +174,9 @@ def test_the_latest_reply_counts_and_none_multiplies(spark):
 def test_a_source_refuses_more_rows_than_it_answers(spark):
     with pytest.raises(ValueError, match="5000"):
         ingest.select_source(spark.createDataFrame([], "id string"), F.current_timestamp(), ["id"], rows=5001)
+
+
+def test_a_band_table_has_a_bound(spark):
+    bands = spark.range(qualify.MAX_BANDS + 1).selectExpr("id as low", "id as high", "'b' as band")
+    with pytest.raises(ValueError, match="no rule table"):
+        qualify.join_bands(spark.createDataFrame([(1,)], "employees int"), bands)
