@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadloom.llm.joins import few
 from leadloom.llm.words import NO_ALNUM, Block, blocks, hashes, split
 from leadloom.session import written
 
@@ -42,8 +43,6 @@ ANSWER_SHARE = 0.6
 SHORT_ITEM = 8
 #: Items searched for in one pass; more are taken in several passes.
 ITEMS_PER_PASS = 20_000
-#: Keys up to this many are broadcast; more are joined by shuffling.
-BROADCAST_ROWS = 500_000
 _SEED = 11
 _STRIPE = 256
 
@@ -352,8 +351,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     """The rows of ``docs``, all columns, whose key is not found to hold a benchmark item. Rows without a key stay."""
     found = find_leaks(docs.select(key, text), benchmark, key, text)
     gone = written(found.where(F.col(key).isNotNull()).select(F.col(key).alias("_gone")).distinct(), "leaks")
-    few = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return docs.join(few, F.col(key) == F.col("_gone"), "left_anti")
+    return docs.join(few(gone), F.col(key) == F.col("_gone"), "left_anti")
 
 
 _TYPES = [pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]

@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from leadloom.llm.joins import few
+from leadloom.session import written
+
 #: Shares of the documents in which a term of the lexicon occurs. A document has some hundreds of distinct
 #: terms on average, so at most those hundreds over LEAST_SHARE terms reach it, however large the corpus is.
 LEAST_SHARE = 0.0005
@@ -122,7 +125,7 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     everywhere = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     above = F.coalesce(F.lag(F.struct(*at)).over(order), F.last(F.struct(*at)).over(everywhere))
     first = first.select(F.col("_first._key").alias("_k"), F.col("_first._hash").alias("_h"), above.alias("_to"))
-    found = rows.join(first, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h")))
+    found = rows.join(few(written(first, "firsts")), F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h")))
     copies = found.select("_key", "_text", F.col("_to._cell").alias("_cell"), F.col("_to._part").alias("_part"), "_hash")
     both = rows.withColumn("_copy", F.lit(False)).unionByName(copies.withColumn("_copy", F.lit(True)))
     within = W.partitionBy(*at).orderBy("_copy", F.desc_nulls_last("_key"), F.desc("_hash"))
@@ -158,14 +161,18 @@ def fingerprints(
     exploded = wide.select(*at, *carried, F.size("_own").alias("_size"), F.posexplode(listed).alias("_pos", "_word")).withColumn(
         "term", F.when(F.col("_word") == "", F.lit(0)).otherwise(F.xxhash64("_word"))
     )
+    # what a document is carried with goes along with that empty word alone
+    exploded = exploded.withColumn("_carried", F.when(F.col("_word") == "", F.struct(*carried))).drop(*carried).withColumn(
+        "_list", F.when(F.col("_word") == "", F.lit(0)).when(F.col("_pos") < F.col("_size"), F.lit(1)).otherwise(F.lit(2))
+    ).drop("_word", "_pos", "_size")
     known = lexicon.unionByName(exploded.sparkSession.range(1).select(F.lit(0).cast("long").alias("term")))
     # the lexicon is bounded by its band (see above), so it may be broadcast
     inside = exploded.join(F.broadcast(known), "term")
     lists = inside.groupBy(*at).agg(
-        *[F.max(F.when(F.col("_word") == "", F.col(c))).alias(c) for c in carried],
-        F.sort_array(F.collect_list(F.when((F.col("_word") != "") & (F.col("_pos") < F.col("_size")), F.col("term")))).alias("_a"),
-        F.sort_array(F.collect_list(F.when((F.col("_word") != "") & (F.col("_pos") >= F.col("_size")), F.col("term")))).alias("_b"),
-    )
+        F.max("_carried").alias("_carried"),
+        F.sort_array(F.collect_list(F.when(F.col("_list") == 1, F.col("term")))).alias("_a"),
+        F.sort_array(F.collect_list(F.when(F.col("_list") == 2, F.col("term")))).alias("_b"),
+    ).select(*at, "_carried.*", "_a", "_b")
     made = with_parts(lists, {"_a": "_pa", "_b": "_pb"})
     filled = made.select(
         *at, *carried,
