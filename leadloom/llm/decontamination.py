@@ -144,6 +144,7 @@ def _sum_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _add_up(group: pd.DataFrame) -> pd.DataFrame:
+    group = group.sort_values("part")  # the same sum whatever the order of arrival
     sums = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in group["sums"])
     seen = sum(np.frombuffer(x, np.int64) for x in group["seen"])
     one = group.iloc[:1].copy()
@@ -156,7 +157,7 @@ def semantic_space(docs: DataFrame, text: str = "text") -> Space:
     """The latent space of all passages of ``docs``. Each task gives one partial sum of a fixed size, in stripes
     of terms; stripes are added up in two levels, and the driver gets one sum."""
     parts = docs.select(F.lower(text).alias("_text"), F.spark_partition_id().alias("_part")).mapInArrow(_sum_passages, _PARTIAL)
-    some = parts.withColumn("part", F.col("part") % 256).groupBy("stripe", "part").applyInPandas(_add_up, _PARTIAL)
+    some = parts.groupBy("stripe", F.col("part") % 256).applyInPandas(_add_up, _PARTIAL)
     rows = some.groupBy("stripe").applyInPandas(_add_up, _PARTIAL).orderBy("stripe").collect()
     if not rows or not rows[0]["passages"]:
         return Space(np.zeros((TERMS + 1, RANK), np.float32))

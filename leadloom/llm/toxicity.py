@@ -76,19 +76,20 @@ def fit(
     """A machine learnt from at most ``rows_per_class`` labelled rows of each class (the bound). Terms are
     extracted by tasks; what reaches the driver is the bounded sample's terms. Without rows of both
     classes the machine is neutral and gives every text a score of 0.5."""
-    sample, share = labelled_sample(labels, label, key, rows_per_class)
+    sample, _ = labelled_sample(labels, label, key, rows_per_class)
     picked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), "_key")
-    table = picked.select("_label", _terms("_text").alias("terms")).toArrow()
+    table = picked.select("_key", "_label", _terms("_text").alias("terms")).toArrow()
     y = table["_label"].to_numpy().astype(np.float64)
     lists = table["terms"].combine_chunks()
     counts = np.asarray(lists.value_lengths().fill_null(0), dtype=np.int64)
     values = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    return learn(values, counts, y, share)
+    return learn(values, counts, y, np.argsort(table["_key"].to_numpy(), kind="stable"))
 
 
-def learn(values: np.ndarray, counts: np.ndarray, y: np.ndarray, share: float, seed: int = 7) -> Machine:
+def learn(values: np.ndarray, counts: np.ndarray, y: np.ndarray, by_key: np.ndarray, seed: int = 7) -> Machine:
     """Logistic loss by AdaGrad, with shrinkage that sets uninformative terms to exactly zero.
-    ``values``: the distinct terms of row after row; ``counts``: how many each row has."""
+    ``values``: the distinct terms of row after row; ``counts``: how many each row has; ``by_key``: the rows in
+    the order of their keys, so that the fit does not depend on the order in which tasks answered."""
     none = Machine(0.0, np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, FACTORS)))
     if not len(y) or y.min() == y.max():
         return none
@@ -110,7 +111,7 @@ def learn(values: np.ndarray, counts: np.ndarray, y: np.ndarray, share: float, s
     seen_w, seen_v, seen_b = np.full(size, 1e-8), np.full((size, FACTORS), 1e-8), 1e-8
     importance = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
     for _ in range(EPOCHS):
-        order = draw.permutation(len(y))
+        order = by_key[draw.permutation(len(y))]
         for at in range(0, len(y), BATCH):
             some = order[at : at + BATCH]
             n = starts[some + 1] - starts[some]
