@@ -1,12 +1,12 @@
 """Near-duplicate documents by b-bit MinHash, confirmed on the full sets of word shingles.
 
-Documents with equal sets are one node. Each node has 128 minima; runs of five are banded into bucket keys,
+Documents with equal sets are one node. Each node has 256 minima; runs of five of the first ones are banded into bucket keys,
 and the low four bits of every minimum are packed into bit planes, from which a pair's similarity is
 estimated by counting equal positions and correcting for chance collisions. What the estimate lets
 through is confirmed on the full sets, and confirmed links are joined into components.
 
-Within a bucket not all pairs are made. Every member is first compared with one hub of the bucket (its first
-member in a random order of all nodes, so that the buckets of a group share a few hubs). Only where a bucket then still spans several
+Within a bucket not all pairs are made. Every member is first compared with one hub of the bucket (the member that
+meets most others in all its buckets, as the middle of a group does). Only where a bucket then still spans several
 components, the members outside its largest one are compared with the whole bucket, in blocks; so every
 pair of a bucket is either compared or already known to be connected.
 """
@@ -23,20 +23,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadloom.llm.graph import components
+from leadloom.llm.joins import few
+from leadloom.llm.worker import small_batches
 from leadloom.llm.words import Block, blocks, distinct, hashes, lowered, mixed, shingles, split
 from leadloom.session import written
 
 WIDTH = 5
-MINIMA = 128
+MINIMA = 256
 ROWS = 5
-BANDS = MINIMA // ROWS
+BANDS = 25
 BITS = 4
 #: Standard deviations of the estimate that a pair may fall below the threshold and still be confirmed.
-SLACK = 5.0
+SLACK = 4.0
 #: Rows of a bucket that meet in one task.
 BLOCK_ROWS = 256
-#: Keys up to this many are broadcast; more are joined by shuffling.
-BROADCAST_ROWS = 500_000
 _FACTORS = mixed(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -165,6 +165,11 @@ def least_estimate(percent: int) -> float:
     return percent / 100 - SLACK * math.sqrt(p * (1 - p) / MINIMA) / (1 - chance)
 
 
+def _sizes_fit(percent: int) -> Column:
+    """Whether sets of sizes ``_na`` and ``_nb`` can be alike enough at all."""
+    return 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
+
+
 def _labelled(rows: DataFrame, maps: list[DataFrame], node: str, label: str) -> DataFrame:
     """``rows`` with the label of the node in column ``node``, by one map after the other; what a map does not
     hold stays as it is."""
@@ -207,23 +212,23 @@ def near_duplicates(
         "nodes",
     )
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    hubs = (
-        banded.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("m"), F.min_by("node", F.xxhash64("node")).alias("hub"))
-        .where("m > 1")
-    )
-    shared = written(banded.join(hubs, "bucket"), "buckets")  # members of the buckets that hold several
-    signature = nodes.select("node", "planes")
+    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    shared = written(banded.join(sizes, "bucket"), "buckets")  # members of the buckets that hold several
+    # the member that meets most others in all its buckets is the likeliest middle of its group
+    crowd = shared.groupBy("node").agg(F.sum("m").alias("crowd"))
+    first = F.max_by("node", F.struct("crowd", F.xxhash64("node")))
+    hubs = shared.join(crowd, "node").groupBy("bucket").agg(first.alias("hub"))
+    signature = nodes.select("node", "n", "planes")
     least = least_estimate(percent)
 
     def estimated(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that the packed signatures let through, with the estimate."""
-        left = signature.select(F.col("node").alias("a"), F.col("planes").alias("_a"))
-        right = signature.select(F.col("node").alias("b"), F.col("planes").alias("_b"))
+        left = signature.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("planes").alias("_a"))
+        right = signature.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("planes").alias("_b"))
         both = pairs.join(left, "a").join(right, "b").withColumn("estimate", likeness("_a", "_b"))
-        return both.where(F.col("estimate") >= least).select("a", "b", "estimate")
+        return both.where(_sizes_fit(percent) & (F.col("estimate") >= least)).select("a", "b", "estimate")
 
-    spokes = shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    spokes = shared.join(hubs, "bucket").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     spokes = written(estimated(spokes), "spokes")
 
     wanted = written(
@@ -243,7 +248,7 @@ def near_duplicates(
     best = spokes.groupBy("a").agg(F.max_by("b", F.struct("estimate", F.col("b"))).alias("b"))
     maps = [components(written(confirmed(best), "confirmed"))]
     maps = _joined(written(confirmed(_between(spokes, maps)), "confirmed"), maps)
-    maps = _joined(written(confirmed(_across(shared, maps, signature, least)), "confirmed"), maps)
+    maps = _joined(written(confirmed(_across(shared, maps, signature, percent)), "confirmed"), maps)
 
     own = _labelled(nodes.select("node", "digest", F.col("_key").alias("_least")), maps, "node", "label")
     smallest = own.groupBy("label").agg(F.min("_least").alias("component_id"))
@@ -260,22 +265,17 @@ def _nodes_in(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node"))
 
 
-def _few(keys: DataFrame) -> DataFrame:
-    """``keys`` (read from storage), to be broadcast where a count of its rows allows it."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -> DataFrame:
     """The full shingle sets of the nodes of ``wanted``, from the texts of their documents."""
     keys = wanted.select("_key")
     texts = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
-    texts = texts.join(_few(keys), F.col("_id").eqNullSafe(F.col("_key")), "left_semi")
+    texts = texts.join(few(keys), F.col("_id").eqNullSafe(F.col("_key")), "left_semi")
     full = texts.select(_full_set(width)(F.col("_text")).alias("s")).select("s.*")
     found = full.join(wanted.select("node", "digest"), "digest").groupBy("node").agg(F.first("values").alias("values"))
     return written(found, "sets")
 
 
-def _across(shared: DataFrame, maps: list[DataFrame], signature: DataFrame, least: float) -> DataFrame:
+def _across(shared: DataFrame, maps: list[DataFrame], signature: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket that lie in different components and that the signatures let through. The members
     outside a bucket's largest component meet all of its members, block by block."""
     members = written(_labelled(shared.select("bucket", "m", "node"), maps, "node", "label"), "members")
@@ -291,14 +291,15 @@ def _across(shared: DataFrame, maps: list[DataFrame], signature: DataFrame, leas
     parts = F.ceil(F.col("m") / BLOCK_ROWS).cast("int")
     whole = mixed_members.select(
         "bucket", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), F.col("node").alias("b"),
-        F.col("label").alias("_lb"), F.col("planes").alias("_b"),
+        F.col("label").alias("_lb"), F.col("n").alias("_nb"), F.col("planes").alias("_b"),
     )
     minor = mixed_members.where("label <> main").select(
         "bucket", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("node").alias("a"),
-        F.col("label").alias("_la"), F.col("main").alias("_main"), F.col("planes").alias("_a"),
+        F.col("label").alias("_la"), F.col("main").alias("_main"), F.col("n").alias("_na"), F.col("planes").alias("_a"),
     )
     once = (F.col("_lb") == F.col("_main")) | (F.col("a") < F.col("b"))
-    pairs = minor.join(whole, ["bucket", "part"]).where((F.col("_la") != F.col("_lb")) & once & (likeness("_a", "_b") >= least))
+    likely = _sizes_fit(percent) & (likeness("_a", "_b") >= least_estimate(percent))
+    pairs = minor.join(whole, ["bucket", "part"]).where((F.col("_la") != F.col("_lb")) & once & likely)
     return pairs.select("a", "b").distinct()
 
 
@@ -306,8 +307,9 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     """The rows of ``docs``, all columns, without those that are not their group's smallest key. Rows without
     a key stay."""
     gone = near_duplicates(docs, key, text, percent).where(f"not kept and {key} is not null").select(F.col(key).alias("_gone"))
-    return docs.join(_few(written(gone, "gone")), F.col(key) == F.col("_gone"), "left_anti")
+    return docs.join(few(written(gone, "gone")), F.col(key) == F.col("_gone"), "left_anti")
 
 
 def op2_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), percent=85)

@@ -7,6 +7,20 @@ import types
 from collections.abc import Callable, Hashable
 from typing import Any
 
+from pyspark.sql import SparkSession
+
+#: Documents that go to a Python worker at once.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets Arrow batches of this session hold BATCH_ROWS rows at most: texts are long, and the JVM and its Python
+    workers hold a batch several times over outside the heap. Results do not depend on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name, "10000"))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
 
 def kept(name: Hashable, make: Callable[[], Any]) -> Any:
     """The object of that name in this process, made at first use."""
