@@ -6,13 +6,15 @@
    only scale rows, the driver turns the sums into the decomposition of the weighted matrix.
 2. Each term gets a vector in that space, scaled so that all directions count alike. Windows of a document
    and benchmark items are sums of term vectors; windows of fitting length whose cosine with an
-   item is high are candidates.
+   item is high are candidates. Foreign words in a window and replaced words lower the cosine, so windows
+   that hold as many of an item's words as a paraphrase must keep are candidates whatever their cosine.
 3. A candidate is confirmed by the longest common subsequence of words with the item, and a paraphrase, which
    keeps fewer of them, must keep the item's answer (its last part).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -33,8 +35,7 @@ PASSAGE = 32
 GRAIN = 8
 COSINE = 0.45
 COMMON_SHARE = 0.005
-#: Items with fewer weighted words have no reliable direction: every window that holds enough of their
-#: words, in whatever order, is a candidate for them.
+#: Items with fewer weighted words have no reliable direction: they are searched by word counts only.
 WEIGHTED_WORDS = 4
 COPY_SHARE = 0.8
 PARAPHRASE_SHARE = 0.6
@@ -43,6 +44,12 @@ ANSWER_SHARE = 0.6
 SHORT_ITEM = 8
 #: Items searched for in one pass; more are taken in several passes.
 ITEMS_PER_PASS = 20_000
+#: Items, and words of items, compared with a block at once; these and the next two bound memory, not results.
+ITEMS_AT_ONCE, WORDS_AT_ONCE = 128, 4096
+#: Candidates whose subsequences are measured at once, and words of the longest item for which that is done.
+CANDIDATES_AT_ONCE = 1 << 13
+LONG_ITEM = 496
+_LIMB = 62
 _SEED = 11
 _STRIPE = 256
 
@@ -184,7 +191,7 @@ def decomposed(sums: np.ndarray, seen: np.ndarray, passages: int) -> Space:
 
 def window_class(length: int) -> tuple[int, int]:
     """How many grains a window has, and by how many windows are apart, so that any run of ``length`` words lies
-    within some window and fills more than half of it (items of a grain or two apart)."""
+    within some window. Short items leave much of it to other words: nine words fill three eighths."""
     for width in (2, 3, 4, 6, 9, 13, 18, 25, 34, 46):
         stride = max(1, width // 4)
         if (width - stride) * GRAIN >= length:
@@ -206,13 +213,15 @@ def common_words(item_masks: dict[int, int], length: int, words: list[int]) -> i
 
 
 class Query(NamedTuple):
-    """Items of one window class: their vectors as unit columns, and their masks by word."""
+    """Items of one window class: their vectors as unit columns, the cosines and the counts of their words from
+    which a window is a candidate, and their masks by word."""
 
     width: int
     stride: int
     items: list[Item]
     vectors: np.ndarray
     least: np.ndarray
+    needed: np.ndarray
     masks: list[dict[int, int]]
 
 
@@ -222,22 +231,71 @@ def queries(items: list[Item], space: Space) -> list[Query]:
         if len(item.words):
             by_class.setdefault(window_class(len(item.words)), []).append(item)
     out = []
-    for (width, stride), group in sorted(by_class.items()):
+    for width, stride, group in _groups(by_class):
         vectors = np.stack([space.vectors[(i.words & np.uint64(TERMS - 1)).astype(np.int64)].sum(0) for i in group])
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
         lengths = np.linalg.norm(space.vectors, axis=1)
         weighted = [np.count_nonzero(lengths[(i.words & np.uint64(TERMS - 1)).astype(np.int64)]) for i in group]
         least = np.where(np.array(weighted) < WEIGHTED_WORDS, np.inf, COSINE)
+        # a window that holds fewer of an item's words, in whatever order, cannot be confirmed
+        needed = [n if n < SHORT_ITEM else math.ceil(PARAPHRASE_SHARE * n - 1e-9) for n in (len(i.words) for i in group)]
         masks = []
         for item in group:
             mask: dict[int, int] = {}
             for k, word in enumerate(item.words.tolist()):
                 mask[word] = mask.get(word, 0) | (1 << k)
             masks.append(mask)
-        out.append(Query(width, stride, group, (vectors / np.maximum(norms, 1e-12)).T.astype(np.float32), least, masks))
+        out.append(Query(width, stride, group, (vectors / np.maximum(norms, 1e-12)).T.astype(np.float32), least, np.array(needed), masks))
     return out
 
 
+def _groups(by_class: dict[tuple[int, int], list[Item]]) -> Iterator[tuple[int, int, list[Item]]]:
+    for (width, stride), group in sorted(by_class.items()):
+        size = max(1, min(ITEMS_AT_ONCE, WORDS_AT_ONCE // (width * GRAIN)))
+        for first in range(0, len(group), size):
+            yield width, stride, group[first : first + size]
+
+
+class Vocabulary(NamedTuple):
+    """The words of a group of items: number of each of a block's words (the last number: in no item), which item
+    (column) has which word, and the bits of the places a word has in an item, in limbs."""
+
+    number: np.ndarray
+    member: np.ndarray
+    places: np.ndarray
+
+
+def vocabulary(distinct: np.ndarray, which: np.ndarray, group: list[Item]) -> Vocabulary:
+    """``distinct``: a block's different words, sorted; ``which``: the one that stands at each place."""
+    known, number = np.unique(np.concatenate([i.words for i in group]), return_inverse=True)
+    lengths = [len(i.words) for i in group]
+    item = np.repeat(np.arange(len(group)), lengths)
+    place = np.concatenate([np.arange(n) for n in lengths])
+    member = np.zeros((len(known) + 1, len(group)), dtype=np.uint8)
+    member[number, item] = 1
+    places = np.zeros((-(-max(lengths) // _LIMB) if max(lengths) <= LONG_ITEM else 0, len(known) + 1, len(group)), dtype=np.uint64)
+    if len(places):
+        np.bitwise_or.at(places, (place // _LIMB, number, item), np.uint64(1) << (place % _LIMB).astype(np.uint64))
+    at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
+    return Vocabulary(np.where(known[at] == distinct, at, len(known)).astype(np.int32)[which], member, places)
+
+
+def common_lengths(known: Vocabulary, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of the words from ``low`` to ``high`` with an item each: the recurrence of
+    ``common_words`` for many windows at once, with carries from limb to limb. Bits beyond an item stay set."""
+    nobody, full = len(known.member) - 1, np.uint64((1 << _LIMB) - 1)
+    rows = np.full((len(known.places), len(low)), full)
+    for k in range(int((high - low).max(initial=0))):
+        number = np.where(low + k < high, known.number[np.minimum(low + k, len(known.number) - 1)], nobody)
+        carry = np.uint64(0)
+        for row, places in zip(rows, known.places, strict=True):
+            kept = row & places[number, item]
+            total = row + kept + carry
+            carry = total >> np.uint64(_LIMB)
+            row[:] = (total & full) | (row - kept)
+    return np.bitwise_count(~rows & full).sum(0, dtype=np.int64)
+
+
 def confirmed(item: Item, masks: dict[int, int], words: list[int]) -> tuple[str, float, float] | None:
     """Kind, share of the item's words and share of its answer's words that stand in ``words`` in order."""
     n = len(item.words)
@@ -268,6 +326,9 @@ def search(block: Block, wanted: list[Query], space: Space) -> Iterator[tuple]:
     np.cumsum(summed(space.vectors, terms), axis=0, out=running[1:])
     row = np.repeat(np.arange(len(per_row)), per_row)
     nth = np.arange(len(starts)) - edge[row]
+    distinct, which = np.unique(words, return_inverse=True)
+    at = starts[:, None] + np.arange(GRAIN)
+    inside, at = at < bounds[row + 1][:, None], np.minimum(at, len(words) - 1)
     best: dict[tuple[int, int], tuple] = {}
     for q in wanted:
         # windows begin at every stride-th grain, as long as the one before did not reach the end of the row
@@ -276,20 +337,22 @@ def search(block: Block, wanted: list[Query], space: Space) -> Iterator[tuple]:
         z = (running[end] - running[begin]).astype(np.float32)
         size = np.linalg.norm(z, axis=1)
         cosine = (z @ q.vectors) / np.maximum(size, 1e-12)[:, None]
-        near = [np.stack(np.nonzero(cosine >= q.least), 1)]
-        for k in np.flatnonzero(np.isinf(q.least)):
-            own = q.items[k].words
-            held = np.concatenate([[0], np.cumsum(np.isin(words, own))])
-            last = np.where(end < edge[row[begin] + 1], starts[np.minimum(end, len(starts) - 1)], bounds[row[begin] + 1])
-            enough = np.flatnonzero(held[last] - held[starts[begin]] >= PARAPHRASE_SHARE * len(own))
-            near.append(np.stack([enough, np.full(len(enough), k)], 1))
-        for i, k in np.concatenate(near).tolist():
-            r, item = int(row[begin[i]]), q.items[k]
-            low = int(starts[begin[i]])
-            high = int(starts[end[i]]) if end[i] < edge[r + 1] else int(bounds[r + 1])
-            found = confirmed(item, q.masks[k], words[low:high].tolist())
-            if found and ((r, item.item_id) not in best or best[r, item.item_id][1] < found[1]):
-                best[r, item.item_id] = (*found, float(cosine[i, k]), low - int(bounds[r]), high - low)
+        known = vocabulary(distinct, which, q.items)
+        held = np.zeros((len(starts) + 1, len(q.items)), dtype=np.int32)
+        np.cumsum(summed(known.member, np.where(inside, known.number[at], len(known.member) - 1)), axis=0, out=held[1:])
+        window, item = np.nonzero((cosine >= q.least) | (held[end] - held[begin] >= q.needed))
+        first = starts[begin]
+        last = np.where(end < edge[row[begin] + 1], starts[np.minimum(end, len(starts) - 1)], bounds[row[begin] + 1])
+        for some in range(0, len(window), CANDIDATES_AT_ONCE):
+            i, k = window[some : some + CANDIDATES_AT_ONCE], item[some : some + CANDIDATES_AT_ONCE]
+            if len(known.places):
+                enough = common_lengths(known, first[i], last[i], k) >= q.needed[k]
+                i, k = i[enough], k[enough]
+            for i, k in zip(i.tolist(), k.tolist(), strict=True):
+                r, own, low, high = int(row[begin[i]]), q.items[k], int(first[i]), int(last[i])
+                found = confirmed(own, q.masks[k], words[low:high].tolist())
+                if found and ((r, own.item_id) not in best or best[r, own.item_id][1] < found[1]):
+                    best[r, own.item_id] = (*found, float(cosine[i, k]), low - int(bounds[r]), high - low)
     for (r, item_id), found in sorted(best.items()):
         yield (r, item_id, *found)
 
@@ -312,7 +375,8 @@ def find_leaks(
     """One row for each document and benchmark item that it holds: the key, ``item_id``, ``kind`` (copy or
     paraphrase), ``lcs_share``, ``answer_share``, ``cosine``, and the window: ``first_word`` and ``n_words``.
 
-    Every window of every document is compared with every item of its length class. Null and empty texts hold
+    Every window of every document is compared with every item of its length class, and every window that
+    keeps enough of an item's words in order is found, whatever its cosine. Null and empty texts hold
     nothing; items without words are never found; items under eight words must occur word for word. Rows
     repeated under a key give a row each. An empty table on either side gives no rows. Null keys are kept.
     """
