@@ -1,6 +1,7 @@
 """License scans by conditional compression.
 
-Blocks of text that mention licensing are compressed with each license template as a raw dictionary. The more
+Sentences and lines that mention licensing, and stretches of words around a mention that hold most of a template,
+over line breaks too, are blocks. They are compressed with each license template as a raw dictionary. The more
 a template shortens the compressed block, the likelier the block is its wording; templates are tried in
 that order, and the first whose wording differs little enough, word by word, is confirmed.
 """
@@ -8,7 +9,9 @@ that order, and the first whose wording differs little enough, word by word, is
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -70,9 +73,8 @@ def wording(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
-def alignment(template: list[str], block: list[str]) -> tuple[list[str], list[str]]:
-    """Template words that a longest common subsequence leaves out, and the block's words that stand between the
-    first and the last word it keeps."""
+def common(template: list[str], block: list[str]) -> tuple[list[str], list[int]]:
+    """Template words that a longest common subsequence leaves out, and the places of the block's words that it keeps."""
     n, m = len(template), len(block)
     table = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -89,7 +91,13 @@ def alignment(template: list[str], block: list[str]) -> tuple[list[str], list[st
             i += 1
         else:
             j += 1
-    missing += template[i:]
+    return missing + template[i:], kept_at
+
+
+def alignment(template: list[str], block: list[str]) -> tuple[list[str], list[str]]:
+    """Template words that a longest common subsequence leaves out, and the block's words that stand between the
+    first and the last word it keeps."""
+    missing, kept_at = common(template, block)
     held = set(kept_at)
     extra = [block[k] for k in range(kept_at[0], kept_at[-1] + 1) if k not in held] if kept_at else []
     return missing, extra
@@ -116,6 +124,36 @@ class Scanner:
             self.met[block] = self._judged(block)
         return self.met[block]
 
+    def wordings(self, text: str) -> Iterator[tuple[int, int, str]]:
+        """(line number from 0, lines, block): for each cue and template the closest stretch of words that keeps
+        enough of the template, within one and a half template lengths before and after the cue, over line breaks."""
+        places = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text)]
+        words, starts = [text[a:b].lower() for a, b in places], [a for a, _ in places]
+        breaks = [m.start() for m in re.finditer("\n", text)]
+        met = set()
+        for cue in kept(("cues", CUES), lambda: re.compile(CUES, re.IGNORECASE)).finditer(text):
+            at = bisect_right(starts, cue.end() - 1)
+            around: dict[int, set[str]] = {}
+            for template, needed in zip(self.words, self.needed, strict=True):
+                n = len(template)
+                reach = n + n // 2 + 1
+                low, high = max(0, at - reach), at + reach
+                if reach not in around:
+                    around[reach] = set(words[low:high])
+                if not needed <= around[reach] or len(set(template) - around[reach]) > MOST_MISSING * n:
+                    continue
+                missing, there = common(template, words[low:high])
+                if len(missing) > MOST_MISSING * n:
+                    continue
+                end = low + there[-1]
+                _, there = common(template[::-1], words[low : end + 1][::-1])  # as late a beginning as that end allows
+                first = end - there[-1]
+                if (first, end) not in met:
+                    met.add((first, end))
+                    line = bisect_left(breaks, places[first][0])
+                    block = " ".join(text[places[first][0] : places[end][1]].split())
+                    yield line, bisect_left(breaks, places[end][0]) - line + 1, block
+
     def _judged(self, block: str) -> Match | None:
         data = block.encode()
         alone = len(self.plain.compress(data))
@@ -133,9 +171,9 @@ class Scanner:
         return None
 
 
-def candidate_blocks(text: str) -> Iterator[tuple[int, str]]:
-    """(line number from 0, block): the sentences of each line that mention licensing, taken as one block, and
-    where a wording may run over lines, the stretch of up to twelve lines from the one that mentions it."""
+def candidate_blocks(text: str) -> Iterator[tuple[int, int, str]]:
+    """(line number from 0, lines, block): the sentences of each line that mention licensing, and the line itself.
+    Wordings that run over lines or stand in a longer line are those of ``Scanner.wordings``."""
     cue = kept(("cues", CUES), lambda: re.compile(CUES, re.IGNORECASE))
     lines = text.split("\n")
     for i, line in enumerate(lines):
@@ -144,14 +182,9 @@ def candidate_blocks(text: str) -> Iterator[tuple[int, str]]:
         sentences = re.split(r"(?<=[.!?:;])\s+(?=[A-Z(\"])", line.strip())
         for sentence in sentences:
             if cue.search(sentence):
-                yield i, sentence
+                yield i, 1, sentence
         if len(sentences) > 1:
-            yield i, line.strip()
-        end = i + 1
-        while end < min(len(lines), i + 12) and lines[end].strip():
-            end += 1
-        if end > i + 1 and not re.search(r"[.!?]\s*$", line):
-            yield i, " ".join(x.strip() for x in lines[i:end])
+            yield i, 1, line.strip()
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,14 +214,19 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
             rows = []
             for r in range(batch.num_rows):
                 best: dict[tuple[str, int], tuple] = {}
-                for line, block in candidate_blocks(batch.column(1)[r].as_py() or ""):
+                spans: dict[tuple[str, int], list[int]] = {}
+                text_of_row = batch.column(1)[r].as_py() or ""
+                for line, lines, block in chain(candidate_blocks(text_of_row), scanner.wordings(text_of_row)):
                     m = scanner.verdict(block)
                     if m:
                         differences = len(m.missing.split()) + len(m.extra.split())
+                        for k in range(line + 1, line + lines):
+                            spans.setdefault((m.license, k), []).append(differences)
                         old = best.get((m.license, line))
                         if old is None or differences < old[0]:
                             best[m.license, line] = (differences, r, m.license, line, m.reduction, m.missing, m.extra, differences == 0, block)
-                rows += [b[1:] for _, b in sorted(best.items())]
+                # the rest of a wording, from a later line on, is no finding of its own
+                rows += [b[1:] for at, b in sorted(best.items()) if all(d > b[0] for d in spans.get(at, []))]
             columns = list(zip(*rows, strict=True)) or [[]] * len(schema)
             keys = batch.column(0).take(pa.array(columns[0], pa.int64()))
             kinds = [pa.string(), pa.int32(), pa.float64(), pa.string(), pa.string(), pa.bool_(), pa.string()]

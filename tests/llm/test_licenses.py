@@ -33,3 +33,14 @@ def test_odd_rows_and_empty_tables(spark):
 def test_alignment_counts_what_is_missing_and_between():
     assert alignment(wording("a b c d"), wording("x a q c d y")) == (["b"], ["q"])
     assert alignment(["a"], ["b"]) == (["a"], [])
+
+
+def test_wordings_run_over_lines_before_and_after_the_mention(spark):
+    isc = next(t for n, t, _ in TEMPLATES if n == "ISC").split()
+    mpl = next(t for n, t, _ in TEMPLATES if n == "MPL-2.0").split()
+    mit = TEMPLATES[3][1].split()
+    wrap = lambda words, n: "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+    texts = [wrap(isc, 12), wrap([*mpl, "If", "a", "copy"], 11), wrap(mit, 3), f"{prose(3, 30)}\n{wrap(isc, 5)}\n{prose(4, 30)}", prose(5, 200) + " " + " ".join(mit)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["license"], r["line"], r["exact"]) for r in scan_licenses(docs).collect()}
+    assert got == {(0, "ISC", 0, True), (1, "MPL-2.0", 0, True), (2, "MIT", 0, True), (3, "ISC", 1, True), (4, "MIT", 0, True)}
