@@ -2,8 +2,8 @@
 
 Sentences and lines that mention licensing, and stretches of words around a mention that hold most of a template,
 over line breaks too, are blocks. They are compressed with each license template as a raw dictionary. The more
-a template shortens the compressed block, the likelier the block is its wording; templates are tried in
-that order, and the first whose wording differs little enough, word by word, is confirmed.
+a template shortens the compressed block, the likelier the block is its wording; of the templates
+that shorten it enough, the one whose wording differs in the fewest words is confirmed if that is little enough.
 """
 
 from __future__ import annotations
@@ -38,8 +38,18 @@ TEMPLATES = (
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gnu general 2"),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3.", "gnu lesser 3"),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3.", "gnu affero 3"),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "gnu lesser 3"),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1.", "gnu lesser 2 1"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "gnu lesser 2 1"),
+    ("LGPL-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gnu library general 2"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "gnu affero 3"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mozilla 2 0"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "redistribution binary"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at", "mozilla 2 0"),
+    # the opening alone does not tell which of the family it is
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "redistribution binary"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", "redistributions reproduce"),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "redistributions reproduce neither endorse"),
+    ("BSD-4-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization. 4. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "redistributions reproduce advertising acknowledgement neither"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "fee"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0.", "cc by 4 0"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "creative attribution 4 0"),
@@ -48,11 +58,35 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", "cc by nc 4 0"),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "creative noncommercial 4 0"),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0.", "cc by nd 4 0"),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0.", "cc by nc sa 4 0"),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "creative noncommercial sharealike 4 0"),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0.", "cc by nc nd 4 0"),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "creative noncommercial noderivatives 4 0"),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "creative noderivatives 4 0"),
     ("CC0-1.0", "This work has been dedicated to the public domain under CC0 1.0 Universal.", "cc0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain.", "unencumbered"),
     ("proprietary", "All rights reserved.", "all rights reserved"),
 )
 
+# Words that may not stand between those of a license's wording; they make it another license.
+_CC = {"sa": "sa sharealike", "nc": "nc noncommercial", "nd": "nd noderivatives noderivs"}
+FOREIGN = {
+    "GPL-3.0": "lesser library affero 2",
+    "GPL-2.0": "lesser library affero 3",
+    "LGPL-3.0": "affero 2",
+    "LGPL-2.1": "affero 3",
+    "LGPL-2.0": "affero lesser 3 1",
+    "AGPL-3.0": "lesser 2",
+    "BSD-2-Clause": "neither endorse advertising",
+    "BSD-3-Clause": "advertising",
+    "CC-BY-4.0": " ".join(_CC.values()),
+    "CC-BY-SA-4.0": _CC["nc"] + " " + _CC["nd"],
+    "CC-BY-NC-4.0": _CC["sa"] + " " + _CC["nd"],
+    "CC-BY-ND-4.0": _CC["nc"] + " " + _CC["sa"],
+    "CC-BY-NC-SA-4.0": _CC["nd"],
+    "CC-BY-NC-ND-4.0": _CC["sa"],
+}
+
 LEAST_REDUCTION = 0.2
 #: Shares of a template's words that may be missing, and of words that may stand between them.
 MOST_MISSING = 0.2
@@ -73,6 +107,10 @@ def wording(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
+def family(license: str) -> str:
+    return license.split("-")[0]
+
+
 def common(template: list[str], block: list[str]) -> tuple[list[str], list[int]]:
     """Template words that a longest common subsequence leaves out, and the places of the block's words that it keeps."""
     n, m = len(template), len(block)
@@ -114,6 +152,7 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(**options)
         self.with_template = [zstandard.ZstdCompressor(dict_data=raw(t), **options) for _, t, _ in TEMPLATES]
         self.words = [wording(t) for _, t, _ in TEMPLATES]
+        self.foreign = [set(FOREIGN.get(n, "").split()) - set(wording(t)) for n, t, _ in TEMPLATES]
         self.needed = [set(k.split()) for _, _, k in TEMPLATES]
         self.met: dict[str, Match | None] = {}
 
@@ -159,16 +198,20 @@ class Scanner:
         alone = len(self.plain.compress(data))
         reductions = [1 - len(c.compress(data)) / alone for c in self.with_template]
         own = wording(block)
-        for k in sorted(range(len(TEMPLATES)), key=lambda k: (-reductions[k], k)):
-            if reductions[k] < LEAST_REDUCTION:
-                break
-            if not self.needed[k] <= set(own):
+        found = []
+        for k, reduction in enumerate(reductions):
+            if reduction < LEAST_REDUCTION or not self.needed[k] <= set(own):
                 continue
             missing, extra = alignment(self.words[k], own)
             size = len(self.words[k])
-            if len(missing) <= MOST_MISSING * size and len(extra) <= MOST_EXTRA * size and not self.needed[k] & set(missing):
-                return Match(TEMPLATES[k][0], k, reductions[k], " ".join(missing), " ".join(extra))
-        return None
+            if len(missing) <= MOST_MISSING * size and len(extra) <= MOST_EXTRA * size and not self.needed[k] & set(missing) and not self.foreign[k] & set(extra):
+                # a longer wording says more than one it contains: count what it leaves of the block too
+                rest = len(own) - size + len(missing) - len(extra)
+                found.append((len(missing) + len(extra) + rest, -reduction, k, " ".join(missing), " ".join(extra)))
+        if not found:
+            return None
+        _, reduction, k, missing, extra = min(found)
+        return Match(TEMPLATES[k][0], k, -reduction, missing, extra)
 
 
 def candidate_blocks(text: str) -> Iterator[tuple[int, int, str]]:
@@ -215,18 +258,27 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
             for r in range(batch.num_rows):
                 best: dict[tuple[str, int], tuple] = {}
                 spans: dict[tuple[str, int], list[int]] = {}
+                whole: dict[tuple[str, int], set[tuple[str, str]]] = {}
                 text_of_row = batch.column(1)[r].as_py() or ""
                 for line, lines, block in chain(candidate_blocks(text_of_row), scanner.wordings(text_of_row)):
                     m = scanner.verdict(block)
                     if m:
                         differences = len(m.missing.split()) + len(m.extra.split())
+                        said = " ".join(wording(block))
+                        for k in range(line, line + lines):
+                            whole.setdefault((family(m.license), k), set()).add((m.license, said))
                         for k in range(line + 1, line + lines):
                             spans.setdefault((m.license, k), []).append(differences)
                         old = best.get((m.license, line))
                         if old is None or differences < old[0]:
                             best[m.license, line] = (differences, r, m.license, line, m.reduction, m.missing, m.extra, differences == 0, block)
-                # the rest of a wording, from a later line on, is no finding of its own
-                rows += [b[1:] for at, b in sorted(best.items()) if all(d > b[0] for d in spans.get(at, []))]
+                # the rest of a wording, from a later line on, is no finding of its own, nor is a family's
+                # shorter wording within a longer one
+                for at, b in sorted(best.items()):
+                    said = " ".join(wording(b[-1]))
+                    longer = any(n != at[0] and len(x) > len(said) and said in x for n, x in whole[family(at[0]), at[1]])
+                    if not longer and all(d > b[0] for d in spans.get(at, [])):
+                        rows.append(b[1:])
             columns = list(zip(*rows, strict=True)) or [[]] * len(schema)
             keys = batch.column(0).take(pa.array(columns[0], pa.int64()))
             kinds = [pa.string(), pa.int32(), pa.float64(), pa.string(), pa.string(), pa.bool_(), pa.string()]

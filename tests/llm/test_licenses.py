@@ -44,3 +44,19 @@ def test_wordings_run_over_lines_before_and_after_the_mention(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {(r["doc_id"], r["license"], r["line"], r["exact"]) for r in scan_licenses(docs).collect()}
     assert got == {(0, "ISC", 0, True), (1, "MPL-2.0", 0, True), (2, "MIT", 0, True), (3, "ISC", 1, True), (4, "MIT", 0, True)}
+
+
+def test_licenses_of_one_family_keep_their_names(spark):
+    gnu = "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    bsd = {n: t for n, t, _ in TEMPLATES if n.startswith("BSD-")}
+    texts = {
+        gnu.format("program", "General", "3"): "GPL-3.0", gnu.format("program", "Lesser General", "3"): "LGPL-3.0", gnu.format("program", "Affero General", "3"): "AGPL-3.0",
+        gnu.format("library", "Lesser General", "2.1"): "LGPL-2.1", gnu.format("library", "Library General", "2"): "LGPL-2.0", gnu.format("program", "General", "2"): "GPL-2.0",
+        **{t.replace(" 2. ", "\n2. ").replace(" 3. ", "\n3. "): n for n, t in bsd.items()},
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "CC-BY-NC-SA-4.0",
+    }
+    assert len(texts) == 13
+    rows = [(k, f"{prose(k, 20)}\n\n{t}\n\n{prose(k + 50, 20)}") for k, t in enumerate(texts)]
+    got = {(r["doc_id"], r["license"]) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == set(enumerate(texts.values()))
