@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leadloom.llm.alignment import op11_interval_alignment
 from leadloom.llm.bpe import op3_token_counts
 from leadloom.llm.decontamination import op1_latent_decontamination
 from leadloom.llm.fingerprints import op5_imatch_fingerprints
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_linear_grouping_packing": op8_linear_grouping_packing,
     "op9_pairwise_quality": op9_pairwise_quality,
     "op10_revisit_resolution": op10_revisit_resolution,
+    "op11_interval_alignment": op11_interval_alignment,
 }
 
 ORACLES: dict[str, str] = {"op10_revisit_resolution": OP10_SQL}
