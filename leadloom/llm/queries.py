@@ -17,6 +17,7 @@ from leadloom.llm.quality import op9_pairwise_quality
 from leadloom.llm.sharding import op4_interleaved_shards
 from leadloom.llm.toxicity import op6_factorization_toxicity
 from leadloom.llm.warc import OP10_SQL, op10_revisit_resolution
+from leadloom.llm.whitening import op13_lanczos_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_latent_decontamination": op1_latent_decontamination,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pairwise_quality": op9_pairwise_quality,
     "op10_revisit_resolution": op10_revisit_resolution,
     "op11_interval_alignment": op11_interval_alignment,
+    "op13_lanczos_whitening": op13_lanczos_whitening,
 }
 
 ORACLES: dict[str, str] = {"op10_revisit_resolution": OP10_SQL}
