@@ -14,6 +14,7 @@ from leadloom.llm.licenses import op7_license_scan
 from leadloom.llm.minhash import op2_bbit_minhash
 from leadloom.llm.packing import op8_linear_grouping_packing
 from leadloom.llm.quality import op9_pairwise_quality
+from leadloom.llm.quantisation import op12_product_quantisation
 from leadloom.llm.sharding import op4_interleaved_shards
 from leadloom.llm.toxicity import op6_factorization_toxicity
 from leadloom.llm.warc import OP10_SQL, op10_revisit_resolution
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pairwise_quality": op9_pairwise_quality,
     "op10_revisit_resolution": op10_revisit_resolution,
     "op11_interval_alignment": op11_interval_alignment,
+    "op12_product_quantisation": op12_product_quantisation,
     "op13_lanczos_whitening": op13_lanczos_whitening,
 }
 
