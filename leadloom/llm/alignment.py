@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Iterator
+from itertools import chain
 from typing import Any, NamedTuple
 
 import numpy as np
@@ -26,14 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadloom.llm.bpe import byte_letters
-from leadloom.llm.worker import kept, small_batches
+from leadloom.llm.worker import give_back, kept, small_batches
 from leadloom.llm.words import SPACE
 from leadloom.session import written
 
 #: Bytes of text that make a chunk; one longer text is a chunk of its own.
-CHUNK_BYTES = 16 << 20
-#: Distinct stretches that are given to a tokenizer at once.
-ENCODED_AT_ONCE = 20_000
+CHUNK_BYTES = 8 << 20
+#: Distinct stretches that are encoded at once, and characters of them that A gets as one text.
+ENCODED_AT_ONCE, JOINED = 20_000, 2_000
 
 
 class Files(NamedTuple):
@@ -63,9 +65,18 @@ def read_files(bytes_path: str, piece_path: str) -> Files:
 
 
 def ragged(lists: list[Any], dtype: type) -> Ragged:
-    bounds = np.append(0, np.cumsum([len(x) for x in lists], dtype=np.int64))
-    flat = np.concatenate([np.asarray(x, dtype=dtype) for x in lists]) if lists else np.zeros(0, dtype)
-    return Ragged(flat, bounds.astype(np.int64))
+    """``lists`` of whole numbers, or byte strings."""
+    bounds = np.append(0, np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists))))
+    return Ragged(np.fromiter(chain.from_iterable(lists), dtype, bounds[-1]), bounds)
+
+
+def stacked(parts: list[Ragged]) -> Ragged:
+    """The rows of all parts, one after the other."""
+    if not parts:
+        return ragged([], np.int32)
+    ends = np.cumsum([0, *[p.bounds[-1] for p in parts]])
+    bounds = [p.bounds[:-1] + e for p, e in zip(parts, ends, strict=False)]
+    return Ragged(np.concatenate([p.flat for p in parts]), np.append(np.concatenate(bounds), ends[-1]))
 
 
 def positions(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -78,6 +89,7 @@ class Vocabularies:
     """Both tokenizers of a worker, and the bytes that their tokens stand for."""
 
     def __init__(self, files: Files) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -90,12 +102,12 @@ class Vocabularies:
         for entry, i in self.a.get_vocab(with_added_tokens=True).items():
             known = all(c in byte_of for c in entry)
             spelled[i] = bytes(byte_of[c] for c in entry) if known else entry.encode()
-        self.a_bytes = ragged([np.frombuffer(s, np.uint8) for s in spelled], np.uint8)
+        self.a_bytes = ragged(spelled, np.uint8)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         spelled = [
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
-        self.b_bytes = ragged([np.frombuffer(s, np.uint8) for s in spelled], np.uint8)
+        self.b_bytes = ragged(spelled, np.uint8)
         first = tree.get("pre_tokenizer") or {}
         #: Whether texts may be cut before a run of spaces.
         self.parts = (
@@ -107,10 +119,36 @@ class Vocabularies:
         """Ids of A and of B for each stretch; a stretch begins with the space that B adds by itself."""
         a, b = [], []
         for i in range(0, len(stretches), ENCODED_AT_ONCE):
-            texts = [s.decode() for s in stretches[i : i + ENCODED_AT_ONCE]]
-            a += [np.array(e.ids, np.int32) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-            b += [np.array(x, np.int32) for x in self.b.encode([t[1:] for t in texts], num_threads=1)]
-        return ragged(a, np.int32), ragged(b, np.int32)
+            some = stretches[i : i + ENCODED_AT_ONCE]
+            a.append(self.encode_a(some))
+            b.append(ragged(self.b.encode([s[1:].decode() for s in some], num_threads=1), np.int32))
+        return stacked(a), stacked(b)
+
+    def encode_a(self, stretches: list[bytes]) -> Ragged:
+        """Ids of A. Stretches that end in no white space are encoded joined, as they might stand in a text, and parted again."""
+        lengths = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        able = [i for i, s in enumerate(stretches) if self.parts and s[0] == 32 and s[-1] < 128 and not SPACE[s[-1]]]
+        ends = np.cumsum(lengths[able])
+        joins = np.split(np.array(able, dtype=np.int64), np.flatnonzero(np.diff(ends // JOINED)) + 1)
+        sizes, order, parts, counts = self.a_bytes.sizes(), [], [], []
+        texts = [b"".join([stretches[i] for i in j]).decode() for j in joins]
+        alone = np.setdiff1d(np.arange(len(stretches)), able).tolist()
+        for j, e in zip(joins, self.a.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            found = np.array(e.ids, np.int32)
+            ends, want = np.cumsum(sizes[found]), np.cumsum(lengths[j])
+            at = np.searchsorted(ends, want)
+            if len(found) and ends[-1] == want[-1] and np.array_equal(ends[at], want):
+                order.append(j)
+                parts.append(found)
+                counts.append(np.diff(at, prepend=-1))
+            else:
+                alone += j.tolist()
+        rest = ragged([e.ids for e in self.a.encode_batch_fast([stretches[i].decode() for i in alone], add_special_tokens=False)], np.int32)
+        place = np.concatenate([*order, np.array(alone, dtype=np.int64)])
+        size = np.concatenate([*counts, rest.sizes()]).astype(np.int64)
+        flat, first = np.concatenate([*parts, rest.flat]), np.cumsum(size) - size
+        back = np.argsort(place, kind="stable")
+        return Ragged(flat[positions(first[back], size[back])], np.append(0, np.cumsum(size[back])))
 
 
 def vocabularies(files: Files) -> Vocabularies:
@@ -145,6 +183,13 @@ def stretches(texts: list[bytes], cut: bool) -> tuple[pa.DictionaryArray, np.nda
     return column.dictionary_encode(), counts
 
 
+def _bytes_of(column: pa.LargeBinaryArray) -> Ragged:
+    _, bounds, data = column.buffers()
+    bounds = np.frombuffer(bounds, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return Ragged(data[bounds[0] : bounds[-1]], bounds - bounds[0])
+
+
 class Aligned(NamedTuple):
     """What both vocabularies make of each distinct stretch; rows that are not ``good`` (the tokens do not spell the
     stretch) have no tokens. ``order``: the tokens of A, then B, sorted by group, A first; ``group``: of each of these;
@@ -258,7 +303,7 @@ def profiled(keys: list[Any], texts: list[str | None], voc: Vocabularies) -> dic
     coded, bounds = stretches([b" " + texts[i].encode() for i in full], voc.parts)
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     distinct = coded.dictionary.to_pylist()
-    text = ragged([np.frombuffer(s, np.uint8) for s in distinct], np.uint8)
+    text = _bytes_of(coded.dictionary)
     found = coalesced(text, *voc.encode(distinct), voc)
     # a text with a stretch that one side does not spell has no tokens at all
     whole = _sums(~found.good, codes, bounds) == 0
@@ -344,6 +389,8 @@ def alignment_profile(docs: DataFrame, files: Files, key: str = "doc_id", text:
         for keys, texts in _chunked(batches):
             row = {"chunk": at, **profiled(keys, texts, voc)}
             yield pa.RecordBatch.from_arrays([pa.array([row[n]], schema.field(n).type) for n in names], schema=schema)
+            del keys, texts, row
+            give_back()
             at += 1
 
     chunks = written(source.mapInArrow(profile, kind), "aligned")
@@ -362,7 +409,7 @@ def alignment_profile(docs: DataFrame, files: Files, key: str = "doc_id", text:
         out = to_arrow_schema(result)
         if not mine.num_rows:
             return out.empty_table()
-        row = mine.to_pylist()[0]
+        row = {c: mine[c][0].as_py() for c in ("pairs", "links", "per_link", "codes", "lines")}
         total, best = np.zeros((2, row["pairs"]), dtype=np.int64)
         place = pairs["place"].to_numpy()
         total[place], best[place] = pairs["total"].to_numpy(), pairs["best"].to_numpy().astype(np.int64)
@@ -372,8 +419,9 @@ def alignment_profile(docs: DataFrame, files: Files, key: str = "doc_id", text:
         n_best, count_sum = (
             _sums(np.diff(np.append(0, np.cumsum(values[links]))[ends]), codes, bounds) for values in (best, total)
         )
-        found = {"key": row["keys"], "n_best": n_best, "count_sum": count_sum} | row
-        return pa.table([pa.array(found[f.name], f.type) for f in out], schema=out)
+        told = {"n_best": n_best, "count_sum": count_sum}
+        column = lambda name: pa.array(told[name]) if name in told else mine["keys" if name == "key" else name].combine_chunks().flatten()
+        return pa.table([column(f.name) for f in out], schema=out)
 
     done = chunks.drop("place", "a", "b", "n").groupBy("chunk").cogroup(back.groupBy("of")).applyInArrow(summed, result)
     return done.withColumnRenamed("key", key)

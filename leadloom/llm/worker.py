@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: Documents that go to a Python worker at once.
@@ -29,3 +31,12 @@ def kept(name: Hashable, make: Callable[[], Any]) -> Any:
     if name not in objects:
         objects[name] = make()
     return objects[name]
+
+
+def give_back() -> None:
+    """Returns memory that this process has freed to the system. Workers live on between tasks, and allocators keep what they
+    once had; the next stage then starts from the largest of all stages before it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
