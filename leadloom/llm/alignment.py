@@ -152,7 +152,7 @@ class Vocabularies:
 
 
 def vocabularies(files: Files) -> Vocabularies:
-    return kept(("alignment", hash(files)), lambda: Vocabularies(files))
+    return kept("alignment", hash(files), lambda: Vocabularies(files))
 
 
 def wide_spaces(data: np.ndarray) -> np.ndarray:
@@ -390,7 +390,7 @@ def alignment_profile(docs: DataFrame, files: Files, key: str = "doc_id", text:
             row = {"chunk": at, **profiled(keys, texts, voc)}
             yield pa.RecordBatch.from_arrays([pa.array([row[n]], schema.field(n).type) for n in names], schema=schema)
             del keys, texts, row
-            give_back()
+            give_back("alignment")
             at += 1
 
     chunks = written(source.mapInArrow(profile, kind), "aligned")

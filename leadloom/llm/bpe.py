@@ -142,7 +142,7 @@ def merged_counts(pieces: list[bytes], voc: Vocabulary) -> np.ndarray:
 
 def text_counts(texts: list[str], voc: Vocabulary) -> np.ndarray:
     """Tokens of whole strings: special strings count one each and part the text, the rest is merged."""
-    pattern = kept(("pre-token", PATTERN), lambda: regex.compile(PATTERN))
+    pattern = regex.compile(PATTERN)  # the module remembers it
     special = regex.compile("|".join(map(regex.escape, sorted(voc.special, key=len, reverse=True)))) if voc.special else None
     index: dict[str, int] = {}
     row, at, extra = [], [], np.zeros(len(texts), dtype=np.int64)
@@ -229,7 +229,7 @@ def token_count(text: Column, path: str) -> Column:
 
     @F.arrow_udf(T.LongType())
     def count(column: pa.Array) -> pa.Array:
-        memory = kept(("token counts", path), dict)
+        memory = kept("token counts", path, dict)
         out = [block_counts(b, voc, memory) for b in blocks(column)]
         return pa.array(np.concatenate(out) if out else np.zeros(0, np.int64))
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadloom.llm.joins import few
+from leadloom.llm.worker import give_back
 from leadloom.llm.words import NO_ALNUM, Block, blocks, hashes, split
 from leadloom.session import written
 
@@ -136,6 +137,7 @@ def _sum_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             part = batch.column(1)[0].as_py()
         for block in blocks(batch.column(0)):
             n += add_passages(*block_words(block), w, sums, seen)
+        give_back("decontamination")
     if part is not None:
         cut, sums = range(0, TERMS, _STRIPE), np.ascontiguousarray(sums.T, dtype=np.float32)
         yield pa.RecordBatch.from_arrays(
@@ -407,16 +409,22 @@ def find_leaks(
                 keys = batch.column(0).take(pa.array(columns[0], pa.int64()))
                 rest = [pa.array(c, t) for c, t in zip(columns[1:], _TYPES, strict=True)]
                 yield pa.RecordBatch.from_arrays([keys, *rest], [f.name for f in schema])
+                give_back("decontamination")
 
         found = found.unionByName(docs.select(key, F.lower(text).alias("_text")).mapInArrow(scan, schema))
     return found
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose key is not found to hold a benchmark item. Rows without a key stay."""
-    found = find_leaks(docs.select(key, text), benchmark, key, text)
-    gone = written(found.where(F.col(key).isNotNull()).select(F.col(key).alias("_gone")).distinct(), "leaks")
-    return docs.join(few(gone), F.col(key) == F.col("_gone"), "left_anti")
+    """The rows of ``docs``, all columns, that are not found to hold a benchmark item. Removal goes by row: where texts under one key differ, each is
+    judged by itself; repeated rows go or stay together. Rows without a key stay, and so do null and empty texts. An empty
+    table on either side changes nothing. Columns of any name pass through."""
+    mark = lambda c: F.struct(F.xxhash64(c, F.lit(1)).alias("a"), F.xxhash64(c, F.lit(2)).alias("b"))
+    named = docs.select(F.struct(F.col(key).alias("key"), mark(F.col(text)).alias("mark")).alias("row"), F.col(text).alias("text"))
+    found = find_leaks(named.where("row.key is not null"), benchmark, "row", "text")
+    gone = written(found.select("row.key", "row.mark").distinct(), "leaks")
+    same = (F.col(f"row.`{key}`") == F.col("gone.key")) & (mark(F.col(f"row.`{text}`")) == F.col("gone.mark"))
+    return docs.alias("row").join(few(gone).alias("gone"), same, "left_anti")
 
 
 _TYPES = [pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]

@@ -170,7 +170,7 @@ class Scanner:
         words, starts = [text[a:b].lower() for a, b in places], [a for a, _ in places]
         breaks = [m.start() for m in re.finditer("\n", text)]
         met = set()
-        for cue in kept(("cues", CUES), lambda: re.compile(CUES, re.IGNORECASE)).finditer(text):
+        for cue in kept("licenses", CUES, lambda: re.compile(CUES, re.IGNORECASE)).finditer(text):
             at = bisect_right(starts, cue.end() - 1)
             around: dict[int, set[str]] = {}
             for template, needed in zip(self.words, self.needed, strict=True):
@@ -217,7 +217,7 @@ class Scanner:
 def candidate_blocks(text: str) -> Iterator[tuple[int, int, str]]:
     """(line number from 0, lines, block): the sentences of each line that mention licensing, and the line itself.
     Wordings that run over lines or stand in a longer line are those of ``Scanner.wordings``."""
-    cue = kept(("cues", CUES), lambda: re.compile(CUES, re.IGNORECASE))
+    cue = kept("licenses", CUES, lambda: re.compile(CUES, re.IGNORECASE))
     lines = text.split("\n")
     for i, line in enumerate(lines):
         if not cue.search(line):
@@ -252,7 +252,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = kept("license scanner", Scanner)
+        scanner = kept("licenses", "scanner", Scanner)
         for batch in batches:
             rows = []
             for r in range(batch.num_rows):

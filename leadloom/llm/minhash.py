@@ -7,7 +7,8 @@ through is confirmed on the full sets, and confirmed links are joined into compo
 
 Within a bucket not all pairs are made. Every member is first compared with one hub of the bucket (the member that
 meets most others in all its buckets, as the middle of a group does). Only where a bucket then still spans several
-components, the members outside its largest one are compared with the whole bucket, in blocks; so every
+components, the members outside its largest one meet the whole bucket, a block against a block in one task, with their full
+sets. The task joins what it finds linked and gives a spanning forest only, so its output is linear in its rows; every
 pair of a bucket is either compared or already known to be connected.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 
 from leadloom.llm.graph import components
 from leadloom.llm.joins import few
-from leadloom.llm.worker import small_batches
+from leadloom.llm.worker import give_back, small_batches
 from leadloom.llm.words import Block, blocks, distinct, hashes, lowered, mixed, shingles, split
 from leadloom.session import written
 
@@ -35,8 +36,8 @@ BANDS = 25
 BITS = 4
 #: Standard deviations of the estimate that a pair may fall below the threshold and still be confirmed.
 SLACK = 4.0
-#: Rows of a bucket that meet in one task.
-BLOCK_ROWS = 256
+#: Rows of a bucket, on either side, that meet in one task.
+BLOCK_ROWS = 512
 _FACTORS = mixed(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -120,6 +121,7 @@ def _profile(width: int):
             _lists(np.concatenate(bands), counts > 0),
             _lists(bits, counts > 0),
         ]
+        give_back("minhash")
         return pa.StructArray.from_arrays(columns, ["n", "digest", "bands", "planes"])
 
     return profile
@@ -138,6 +140,7 @@ def _full_set(width: int):
             sets.append(values)
             ends.append(bounds[1:] + ends[-1][-1])
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
+        give_back("minhash")
         return pa.StructArray.from_arrays([pa.array(digest, pa.binary()), lists], ["digest", "values"])
 
     return full
@@ -202,8 +205,18 @@ def near_duplicates(
     key. Rows repeated under one key share everything. A null key counts in no minimum and is never kept
     (``drop_near_duplicates`` leaves such rows alone). An empty table gives no rows. Other columns are not read.
     """
-    profile = docs.select(F.col(key).alias("_key"), _profile(width)(F.col(text)).alias("p"))
-    thin = written(profile.select("_key", "p.*"), "profiles")
+    return _classes(docs, key, text, percent, width).drop("_mark").withColumnRenamed("_key", key)
+
+
+def _mark(text: Column) -> Column:
+    """Tells rows of one key apart by their texts."""
+    return F.struct(F.xxhash64(text, F.lit(1)).alias("a"), F.xxhash64(text, F.lit(2)).alias("b"))
+
+
+def _classes(docs: DataFrame, key: str, text: str, percent: int, width: int) -> DataFrame:
+    """``near_duplicates`` with the key as ``_key`` and ``_mark`` for the text."""
+    profile = docs.select(F.col(key).alias("_key"), _mark(F.col(text)).alias("_mark"), _profile(width)(F.col(text)).alias("p"))
+    thin = written(profile.select("_key", "_mark", "p.*"), "profiles")
     nodes = written(
         thin.where("n > 0")
         .groupBy("digest")
@@ -248,17 +261,18 @@ def near_duplicates(
     best = spokes.groupBy("a").agg(F.max_by("b", F.struct("estimate", F.col("b"))).alias("b"))
     maps = [components(written(confirmed(best), "confirmed"))]
     maps = _joined(written(confirmed(_between(spokes, maps)), "confirmed"), maps)
-    maps = _joined(written(confirmed(_across(shared, maps, signature, percent)), "confirmed"), maps)
+    maps = _joined(written(_across(shared, maps, nodes, sets, percent), "confirmed"), maps)
 
     own = _labelled(nodes.select("node", "digest", F.col("_key").alias("_least")), maps, "node", "label")
     smallest = own.groupBy("label").agg(F.min("_least").alias("component_id"))
     by_digest = own.join(smallest, "label").select("digest", "component_id")
     found = thin.join(by_digest, "digest", "left")
     return found.select(
-        F.col("_key").alias(key),
+        "_key",
+        "_mark",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_key")).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)))
+    ).withColumn("kept", F.coalesce(F.col("_key") == F.col("component_id"), F.lit(False)))
 
 
 def _nodes_in(pairs: DataFrame) -> DataFrame:
@@ -275,39 +289,91 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -
     return written(found, "sets")
 
 
-def _across(shared: DataFrame, maps: list[DataFrame], signature: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that lie in different components and that the signatures let through. The members
-    outside a bucket's largest component meet all of its members, block by block."""
+def forest(tile: pa.Table, bucket: int, percent: int) -> list[tuple[int, int]]:
+    """Links of a tile (rows of one bucket: ``minor`` ones meet those that are not) that join its components, one for each time
+    that two become one. A pair that shares an earlier bucket as well is left to that."""
+    node, label, main = (tile[c].to_numpy() for c in ("node", "label", "main"))
+    matrix = lambda c, kind: tile[c].combine_chunks().flatten().to_numpy().view(kind).reshape(len(node), -1)
+    bands, bits = matrix("bands", np.int64), matrix("planes", np.uint64)
+    sets = tile["values"].combine_chunks()
+    bounds = np.append(0, np.cumsum(np.diff(sets.offsets.to_numpy())))
+    shingle = np.unique(sets.flatten().to_numpy(), return_inverse=True)[1]
+    size, mark = np.diff(bounds), np.zeros(len(shingle), dtype=bool)
+    root = np.unique(label, return_inverse=True)[1]  # of each row, the component that it is in so far
+    minor = tile["minor"].to_numpy()
+    others = np.flatnonzero(~minor)
+    words, chance, least, found = MINIMA // 64, 2.0**-BITS, least_estimate(percent), []
+    for i in np.flatnonzero(minor).tolist():
+        # two members outside the largest component meet twice
+        open_ = (root[others] != root[i]) & ((label[others] == main[others]) | (node[others] > node[i]))
+        open_ &= 100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i])
+        some = others[open_]
+        if not len(some):
+            continue
+        differ = (bits[some] ^ bits[i]).reshape(len(some), BITS, words)
+        equal = MINIMA - np.bitwise_count(np.bitwise_or.reduce(differ, 1)).sum(1, dtype=np.int64)
+        some = some[(equal / MINIMA - chance) / (1 - chance) >= least]
+        some = some[bands[i, (bands[some] == bands[i]).argmax(1)] == bucket]
+        if not len(some):
+            continue
+        own = shingle[bounds[i] : bounds[i + 1]]
+        mark[own] = True
+        edge = np.append(0, np.cumsum(size[some]))
+        at = np.arange(edge[-1]) + np.repeat(bounds[some] - edge[:-1], size[some])
+        common = np.add.reduceat(mark[shingle[at]].astype(np.int64), edge[:-1])
+        mark[own] = False
+        for j in some[100 * common >= percent * (size[i] + size[some] - common)].tolist():
+            if root[j] != root[i]:
+                found.append((int(node[i]), int(node[j])))
+                root[root == root[j]] = root[i]
+    return found
+
+
+def _across(shared: DataFrame, maps: list[DataFrame], nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) that join the components which a bucket still spans. The members outside a bucket's largest component meet
+    all of its members, block by block."""
     members = written(_labelled(shared.select("bucket", "m", "node"), maps, "node", "label"), "members")
     largest = (
         members.groupBy("bucket", "label")
         .agg(F.count(F.lit(1)).alias("_n"))
         .groupBy("bucket")
-        .agg(F.max_by("label", F.struct("_n", F.col("label"))).alias("main"), F.count(F.lit(1)).alias("_labels"))
+        .agg(F.max_by("label", F.struct("_n", F.col("label"))).alias("main"), F.max("_n").alias("_most"), F.count(F.lit(1)).alias("_labels"))
         .where("_labels > 1")
         .drop("_labels")
     )
-    mixed_members = written(members.join(largest, "bucket").join(signature, "node"), "members")
-    parts = F.ceil(F.col("m") / BLOCK_ROWS).cast("int")
-    whole = mixed_members.select(
-        "bucket", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), F.col("node").alias("b"),
-        F.col("label").alias("_lb"), F.col("n").alias("_nb"), F.col("planes").alias("_b"),
+    blocks_of = lambda rows: F.ceil(rows / BLOCK_ROWS).cast("int")
+    spanned = members.join(largest, "bucket").select(
+        "bucket", "node", "label", "main", blocks_of(F.col("m")).alias("_w"), blocks_of(F.col("m") - F.col("_most")).alias("_v")
     )
-    minor = mixed_members.where("label <> main").select(
-        "bucket", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("node").alias("a"),
-        F.col("label").alias("_la"), F.col("main").alias("_main"), F.col("n").alias("_na"), F.col("planes").alias("_a"),
-    )
-    once = (F.col("_lb") == F.col("_main")) | (F.col("a") < F.col("b"))
-    likely = _sizes_fit(percent) & (likeness("_a", "_b") >= least_estimate(percent))
-    pairs = minor.join(whole, ["bucket", "part"]).where((F.col("_la") != F.col("_lb")) & once & likely)
-    return pairs.select("a", "b").distinct()
+    hashed = lambda salt, blocks: F.pmod(F.xxhash64("node", F.lit(salt)), blocks).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    whole = spanned.select("bucket", every("_v").alias("v"), hashed(1, F.col("_w")).alias("w"), "node", "label", "main", F.lit(False).alias("minor"))
+    outside = spanned.where("label <> main")
+    outside = outside.select("bucket", hashed(2, F.col("_v")).alias("v"), every("_w").alias("w"), "node", "label", "main", F.lit(True).alias("minor"))
+    rows = whole.unionByName(outside).join(nodes.select("node", "bands", "planes"), "node").join(sets.select("node", "values"), "node")
+
+    def settled(key: tuple, tile: pa.Table) -> pa.Table:
+        links = forest(tile, key[0].as_py(), percent)
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+
+    return rows.groupBy("bucket", "v", "w").applyInArrow(settled, "a long, b long")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, without those that are not their group's smallest key. Rows without
-    a key stay."""
-    gone = near_duplicates(docs, key, text, percent).where(f"not kept and {key} is not null").select(F.col(key).alias("_gone"))
-    return docs.join(few(written(gone, "gone")), F.col(key) == F.col("_gone"), "left_anti")
+    """The rows of ``docs``, all columns, without those that are not their group's smallest key. Removal goes by row: where texts under one key
+    differ, each is judged by itself; where one key and text is repeated, one of its rows stays. Rows without a key, and rows
+    whose text is null, empty or blank, all stay. An empty table gives no rows. Columns of any name pass through."""
+    found = _classes(docs, key, text, percent, WIDTH).where("_key is not null and n_shingles > 0")
+    judged = found.groupBy("_key", "_mark").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("times"))
+    judged = written(judged.where("not kept or times > 1"), "judged")
+    row = docs.alias("row")
+    same = (F.col(f"row.`{key}`") == F.col("judged._key")) & (_mark(F.col(f"row.`{text}`")) == F.col("judged._mark"))
+    stay = row.join(few(judged.select("_key", "_mark")).alias("judged"), same, "left_anti")
+    twice = judged.where("kept").select("_key", "_mark")
+    if twice.isEmpty():
+        return stay
+    again = row.join(few(twice).alias("judged"), same, "left_semi")
+    return stay.unionByName(again.dropDuplicates([key, text]))
 
 
 def op2_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

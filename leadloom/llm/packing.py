@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from leadloom.llm.bpe import Vocabulary, merged, parsed
 from leadloom.llm.ranks import bucket_count, ranked, unit, unit_bucket
-from leadloom.llm.worker import kept
+from leadloom.llm.worker import give_back, kept
 from leadloom.llm.words import Block, blocks, hashes, split
 from leadloom.session import written
 
@@ -333,9 +333,9 @@ def pieces(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = kept(("tokenizer", zlib.crc32(spec.encode())), lambda: _encoder(spec))
-        voc = kept(("vocabulary", zlib.crc32(spec.encode())), lambda: parsed(spec))
-        memory = kept(("ids", zlib.crc32(spec.encode())), Memory)
+        tokenizer = kept("packing", ("tokenizer", zlib.crc32(spec.encode())), lambda: _encoder(spec))
+        voc = kept("packing", ("vocabulary", zlib.crc32(spec.encode())), lambda: parsed(spec))
+        memory = kept("packing", ("ids", zlib.crc32(spec.encode())), Memory)
         for batch in batches:
             for block in blocks(batch.column(1)):
                 flat, sizes = block_ids(block, voc, tokenizer, memory)
@@ -358,6 +358,7 @@ def pieces(
                 if ids:
                     columns.append(pa.array(parts, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
+            give_back("packing")
 
     return docs.select(key, text).mapInArrow(cut, schema)
 

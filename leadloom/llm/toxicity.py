@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadloom.llm.sampling import ROWS_PER_CLASS, labelled_sample, remainder
+from leadloom.llm.worker import give_back
 from leadloom.llm.words import NO_LETTER, Block, blocks, hashes, lowered, mixed, split
 
 PREFIX_BYTES = (4, 5, 6, 7, 8)
@@ -66,6 +67,7 @@ def _terms(text: pa.Array) -> pa.Array:
         new[1:] = (term[1:] != term[:-1]) | (row[1:] != row[:-1])
         values.append(term[new].view(np.int64))
         offsets.append(np.searchsorted(row[new], np.arange(1, len(block.bounds))) + offsets[-1][-1])
+    give_back("toxicity")
     return pa.ListArray.from_arrays(pa.array(np.concatenate(offsets), pa.int32()), pa.array(np.concatenate(values)))
 
 
@@ -166,6 +168,7 @@ def toxicity(machine: Machine, text: Column) -> Column:
     @F.arrow_udf(T.DoubleType())
     def score(column: pa.Array) -> pa.Array:
         out = [margins(b, machine, sieve) for b in blocks(column)]
+        give_back("toxicity")
         z = np.concatenate(out) if out else np.zeros(0)
         return pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 

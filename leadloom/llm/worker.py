@@ -24,18 +24,26 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
-def kept(name: Hashable, make: Callable[[], Any]) -> Any:
-    """The object of that name in this process, made at first use."""
-    holder = sys.modules.setdefault("_leadloom_kept", types.ModuleType("_leadloom_kept"))
-    objects = holder.__dict__.setdefault("objects", {})
+def _held(owner: str) -> dict[Hashable, Any]:
+    """What this process holds for the operator ``owner``; what it held for others is dropped."""
+    holder = sys.modules.setdefault("_leadloom_kept", types.ModuleType("_leadloom_kept")).__dict__
+    if holder.get("owner") != owner:
+        holder["owner"], holder["objects"] = owner, {}
+    return holder["objects"]
+
+
+def kept(owner: str, name: Hashable, make: Callable[[], Any]) -> Any:
+    """The object of that name in this process, made at first use. It lives until another operator works in this process."""
+    objects = _held(owner)
     if name not in objects:
         objects[name] = make()
     return objects[name]
 
 
-def give_back() -> None:
-    """Returns memory that this process has freed to the system. Workers live on between tasks, and allocators keep what they
-    once had; the next stage then starts from the largest of all stages before it."""
+def give_back(owner: str) -> None:
+    """Drops what this process holds for other operators, and returns the memory that it has freed to the system. Workers live on between
+    tasks and allocators keep what they once had; without this the next stage would start from the largest of all stages before it."""
+    _held(owner)
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim:

@@ -10,7 +10,7 @@ SCHEMA = T.StructType(
         T.StructField("doc_id", T.LongType()),
         T.StructField("text", T.StringType()),
         T.StructField("source", T.StringType()),
-        *[T.StructField(c, T.StringType()) for c in ("score", "shard", "node", "term", "label", "kept", "length", "bucket", "n", "values")],
+        *[T.StructField(c, T.StringType()) for c in ("score", "shard", "node", "term", "label", "kept", "length", "bucket", "n", "values", "_gone", "_key", "_mark", "row", "gone", "judged")],
     ]
 )
 
@@ -27,7 +27,7 @@ def odd_rows() -> list[tuple]:
         (7, long, "c"), (8, long + " more", "c"), (9, "żółć 中文　字   😀 <|endoftext|> don't", None), (10, prose(2, 60), "a"),
         (10, prose(2, 60), "a"), (None, prose(2, 60), "a"), (None, None, None), (12, "x" * 40_000, "d"), (13, "a b c d", "d"),
     ]
-    return [(i, t, s, *["?"] * 10) for i, t, s in texts]
+    return [(i, t, s, *["?"] * 16) for i, t, s in texts]
 
 
 def odd_docs(spark):
