@@ -11,12 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from leadloom.operators.skew import spread_join
+
 # Header fields that a 304 answer carries for the stored response (RFC 9110, 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 # Query parameters that track visitors and do not name a page.
 TRACKING = "^(utm_[a-z]+|ref|fbclid|gclid)(=|$)"
 #: Stretches that the time of captures is cut into, so that one URL's captures spread over tasks.
 STRETCHES = 512
+#: The share of captures before the first and after the last stretch that is cut at equal widths.
+EDGE = 0.001
 
 
 def canonical_url(url: Column) -> Column:
@@ -41,6 +45,10 @@ def _tag(etag: Column) -> Column:
     return F.regexp_replace(F.trim(etag), "^[Ww]/", "")
 
 
+def _named(record: Column, mark: Column) -> Column:
+    return F.concat(F.coalesce(record.cast("string"), F.lit("")), F.lit("/"), mark.cast("string"))
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row for each 304 record of ``records`` (columns ``record_id`` long, ``url``, ``captured_at`` timestamp, ``status`` int,
     ``headers`` map<string,string> with lower-case names, and ``payload``): ``record_id``, ``canonical``, ``captured_at``,
@@ -49,27 +57,35 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     Outcomes: ``matched`` (entity tags, or else modification dates, agree), ``unchecked`` (the 304 has no validator
     that the response has too), ``mismatch`` (they differ: not resolved, no headers) and ``no_response`` (none is
     earlier). A response of the same instant is not earlier; of several at one instant the one with the
-    largest record id counts. Records without URL or time match nothing. Missing headers are an empty map. Repeated
-    304 rows give a row each. An empty table gives no rows; other columns are not read.
+    largest record id counts (of repeated ids, that of the greatest validators, payload and headers). Records without URL or time
+    match nothing. Missing headers are an empty map. Repeated 304 rows give a row each, with the headers of that row. An
+    empty table gives no rows; other columns are not read.
     """
     headers = F.coalesce("headers", F.create_map().cast("map<string,string>"))
     base = records.select("record_id", canonical_url(F.col("url")).alias("canonical"), "captured_at", "status", headers.alias("headers"), "payload")
-    low, high = records.agg(F.min(F.unix_micros("captured_at")), F.max(F.unix_micros("captured_at"))).first()
+    base = base.withColumn("mark", F.xxhash64(F.array_sort(F.map_entries("headers"))))  # tells rows of one record id apart
+    low, high = records.agg(
+        F.percentile_approx(F.unix_micros("captured_at"), F.lit(EDGE)), F.percentile_approx(F.unix_micros("captured_at"), F.lit(1 - EDGE))
+    ).first()
     width = (max(1, high - low + 1) if low is not None else 1) / STRETCHES
-    stretch = F.coalesce(F.floor((F.unix_micros("captured_at") - (low or 0)) / width), F.lit(-1)).cast("int")
-    thin = base.where("status in (200, 304)").select(
+    # captures before and after the bulk of them, a few in a thousand, are in the first and the last stretch
+    stretch = F.greatest(F.lit(0), F.least(F.lit(STRETCHES - 1), F.floor((F.unix_micros("captured_at") - (low or 0)) / width))).cast("int")
+    new = F.map_filter("headers", lambda k, v: k.isin(*PERMITTED) & v.isNotNull())
+    every = base.where("status in (200, 304)").select(
         "record_id",
         F.col("canonical").alias("_url"),
         "captured_at",
         stretch.alias("_stretch"),
+        F.when(F.col("status") == 304, new).alias("_new"),
+        "mark",
         F.col("headers")["etag"].alias("_etag"),
         F.col("headers")["last-modified"].alias("_modified"),
         (F.col("status") == 200).alias("_full"),
         F.when(F.col("status") == 200, F.sha1(F.coalesce("payload", F.lit("")))).alias("_digest"),
     )
-    able = F.col("_full") & F.col("_url").isNotNull() & F.col("captured_at").isNotNull()
-    response = F.when(able, F.struct("captured_at", "record_id", "_etag", "_modified", "_digest"))
-    thin = thin.withColumn("_response", response)
+    known = F.col("_url").isNotNull() & F.col("captured_at").isNotNull()
+    response = F.struct("captured_at", "record_id", "_etag", "_modified", "_digest", "mark")
+    thin = every.where(known).withColumn("_response", F.when(F.col("_full"), response))
     # the last response of each stretch, carried on to the stretches after it
     ends = thin.groupBy("_url", "_stretch").agg(F.max("_response").alias("_last"))
     before = W.partitionBy("_url").orderBy("_stretch").rowsBetween(W.unboundedPreceding, -1)
@@ -77,9 +93,11 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     # within a stretch the 304s of an instant stand before its responses
     inside = W.partitionBy("_url", "_stretch").orderBy("captured_at", "_full", "record_id").rowsBetween(W.unboundedPreceding, -1)
     found = thin.withColumn("_in", F.max("_response").over(inside)).where("not _full")
-    found = found.join(carried, F.col("_url").eqNullSafe(F.col("_u")) & (F.col("_stretch") == F.col("_s")), "left")
-    known = F.col("_url").isNotNull() & F.col("captured_at").isNotNull()
-    found = found.withColumn("_r", F.when(known, F.coalesce("_in", "_carried")))
+    found = found.join(carried, (F.col("_url") == F.col("_u")) & (F.col("_stretch") == F.col("_s")), "left")
+    found = found.withColumn("_r", F.coalesce("_in", "_carried"))
+    # records without URL or time meet nothing, so they do not go through the windows
+    nowhere = every.where(~known & ~F.col("_full")).withColumn("_r", F.lit(None).cast(found.schema["_r"].dataType))
+    found = found.select(*nowhere.columns).unionByName(nowhere)
     tags = _tag(F.col("_etag")) == _tag(F.col("_r._etag"))
     outcome = (
         F.when(F.col("_r").isNull(), "no_response")
@@ -91,17 +109,17 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     judged = found.select(
         "record_id", F.col("_url").alias("canonical"), "captured_at", outcome.alias("outcome"), F.col("_r.record_id").alias("refers_to"),
         ((F.unix_micros("captured_at") - F.unix_micros("_r.captured_at")) / 1_000_000).alias("age_seconds"),
-        F.col("_r._digest").alias("payload_digest"),
+        F.col("_r._digest").alias("payload_digest"), "_new", _named(F.col("_r.record_id"), F.col("_r.mark")).alias("_to"),
     )
-    # headers are fetched by record: those of the 304, and those of the response where it is resolved
-    own = base.where("status = 304").groupBy("record_id").agg(F.first("headers").alias("_own"))
-    stored = base.where("status = 200").groupBy("record_id").agg(F.first("headers").alias("_stored"))
+    # the response's headers are fetched by record for resolved rows only; one response may be referred to by very many
     resolved = F.col("outcome").isin("matched", "unchecked")
-    wanted = judged.withColumn("_to", F.when(resolved, F.col("refers_to"))).join(own, "record_id", "left")
-    full = wanted.join(stored.withColumnRenamed("record_id", "_to"), "_to", "left")
-    new = F.map_filter("_own", lambda k, v: k.isin(*PERMITTED) & v.isNotNull())
-    kept = F.map_filter("_stored", lambda k, v: ~F.coalesce(F.map_contains_key(new, k), F.lit(False)))
-    return full.select(*judged.columns, F.when(resolved, F.map_concat(kept, new)).alias("headers"))
+    open_ = judged.where(~resolved)
+    stored = base.where("status = 200").groupBy(_named(F.col("record_id"), F.col("mark")).alias("_to")).agg(F.first("headers").alias("_stored"))
+    full = spread_join(judged.where(resolved), stored, ["_to"], [F.col("record_id"), F.col("captured_at")], "inner")
+    kept = F.map_filter("_stored", lambda k, v: ~F.coalesce(F.map_contains_key("_new", k), F.lit(False)))
+    names = [c for c in judged.columns if c not in ("_new", "_to")]
+    full = full.select(*names, F.map_concat(kept, "_new").alias("headers"))
+    return full.unionByName(open_.select(*names, F.lit(None).cast("map<string,string>").alias("headers")))
 
 
 def crawl(pages: DataFrame) -> DataFrame:

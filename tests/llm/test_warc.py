@@ -49,6 +49,24 @@ def test_equals_brute_force(spark):
     assert got == want
 
 
+def test_repeated_ids_keep_their_own_headers(spark):
+    """Rows of one record id differ in headers; one timestamp is far off, and a response has no id."""
+    day = lambda n: START + timedelta(days=n)
+    rows = [
+        (1, "a.example/x", day(1), 200, {"etag": '"1"', "x": "old"}, "one", "?"), (1, "a.example/y", day(1), 200, {"etag": '"2"', "x": "other"}, "two", "?"),
+        (2, "a.example/x", day(2), 304, {"etag": '"1"', "vary": "one"}, None, "?"), (2, "a.example/x", day(2), 304, {"etag": '"1"', "vary": "two"}, None, "?"),
+        (2, "a.example/y", day(3), 304, {"vary": "three"}, None, "?"), (None, "a.example/z", day(1), 200, {"x": "none"}, "", "?"),
+        (4, "a.example/z", day(4), 304, None, None, "?"), (5, "a.example/x", datetime(1970, 1, 2), 304, None, None, "?"), (5, None, day(5), 304, None, None, "?"),
+    ]
+    got = [(r["record_id"], r["outcome"], r["refers_to"], r["headers"]) for r in resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect()]
+    want = [
+        (2, "matched", 1, {"x": "old", "etag": '"1"', "vary": "one"}), (2, "matched", 1, {"x": "old", "etag": '"1"', "vary": "two"}),
+        (2, "unchecked", 1, {"x": "other", "etag": '"2"', "vary": "three"}), (4, "unchecked", None, {"x": "none"}),
+        (5, "no_response", None, None), (5, "no_response", None, None),
+    ]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_empty_table_and_urls(spark):
     assert resolve_revisits(spark.createDataFrame([], SCHEMA)).count() == 0
     urls = {
