@@ -39,7 +39,7 @@ GROUPS = 96
 #: Lengths above this part of the capacity are large.
 LARGE_PART = 3
 #: Words a worker remembers before it starts anew; bounds its memory, not its results.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 
 class Interval(NamedTuple):

@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 
 #: Documents that go to a Python worker at once.
 BATCH_ROWS = 500
+#: Arrays from this size on go back to the system as soon as they are freed (glibc's M_MMAP_THRESHOLD).
+LARGE_BYTES, _MMAP_THRESHOLD = 1 << 20, -3
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -45,6 +47,7 @@ def give_back(owner: str) -> None:
     tasks and allocators keep what they once had; without this the next stage would start from the largest of all stages before it."""
     _held(owner)
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-    if trim:
-        trim(0)
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):  # glibc
+        libc.mallopt(_MMAP_THRESHOLD, LARGE_BYTES)
+        libc.malloc_trim(0)
