@@ -9,6 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from leadloom.plans import runs  # noqa: E402, F401 - registers the queries over whole runs
 from leadloom.plans.queries import QUERIES  # noqa: E402
 from leadloom.session import local_session  # noqa: E402
 

@@ -14,7 +14,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 DEFAULT = [
     "q_fold_accents", "q_canonical_url", "q_root_domain", "q_keyword_hits", "q_typed_jobs", "q_dedup_first", "q_company_rollup", "q_match_exact",
     "q_match_fuzzy", "q_match_ratio", "q_fit_with_replies", "q_verdict_cache", "q_people_flatten", "q_keep_drop", "q_upsert_companies",
-    "q_upsert_contacts", "q_rerun_noop", "q_checks", "q_shortlist",
+    "q_upsert_contacts", "q_rerun_noop", "q_checks", "q_shortlist", "q_run_twice",
 ]
 NAMES = list(QUERIES) if os.environ.get("LEADLOOM_ALL") else DEFAULT
 
