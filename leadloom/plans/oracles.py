@@ -541,15 +541,13 @@ oracle("q_audit_rows", f"""
 SELECT name AS company_name, {e('domain')} AS company_domain, company_key AS linkedin_slug, {e('nullif(employees, 0)')} AS employees, {e('size_band')} AS size_band, decision,
   {e('confidence')} AS confidence, {e('fit_score')} AS fit_score, {e('rationale')} AS rationale FROM x_decided
 """)
-oracle("q_fit_question", f"""
-SELECT company_key, md5(t) AS text_md5, CAST(length(t) AS BIGINT) AS text_chars FROM (SELECT company_key,
-  'Company: ' || name || chr(10) || 'LinkedIn industry: ' || coalesce(nullif(industry, ''), 'unknown') || chr(10) ||
+FIT_TEXT = f"""'Company: ' || name || chr(10) || 'LinkedIn industry: ' || coalesce(nullif(industry, ''), 'unknown') || chr(10) ||
   'Employees (LinkedIn, may be a LOCAL/subsidiary entity not the global group): ' || coalesce({s('nullif(employees, 0)')}, 'unknown') || chr(10) ||
   'Headquarters: ' || coalesce(nullif(headquarters, ''), 'unknown') || chr(10) || 'Specialties: ' || coalesce(nullif(array_to_string(specialties, ', '), ''), 'unknown') || chr(10) ||
   'LinkedIn description: ' || coalesce(nullif(description, ''), 'n/a') || chr(10) ||
   'Job locations seen in scrape: ' || coalesce(nullif(array_to_string(list_concat(cities, countries), ', '), ''), 'unknown') || chr(10) || chr(10) ||
-  'Research this company''s website and decide ICP fit. Return the JSON object.' AS t FROM x_corp)
-""")
+  'Research this company''s website and decide ICP fit. Return the JSON object.'"""
+oracle("q_fit_question", f"SELECT company_key, md5(t) AS text_md5, CAST(length(t) AS BIGINT) AS text_chars FROM (SELECT company_key, {FIT_TEXT} AS t FROM x_corp)")
 
 # --- people and pairs ----------------------------------------------------------------------------
 CTE["x_guard"] = f"SELECT company_key, CASE WHEN first_seq % 8 = 0 THEN {lead_title('employees')} ELSE 'Another Title' END AS target_title FROM x_corp WHERE first_seq % 4 = 0"
