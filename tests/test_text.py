@@ -190,6 +190,18 @@ def test_distances_against_brute_force(spark):
         assert (r.lcs, r.close, r.near) == (_lcs(r.a, r.b), close(r.a, r.b), _lev(r.a, r.b) <= 2), (r.a, r.b)
 
 
+def test_subsequence_over_limb_borders(spark):
+    rng = random.Random(2)
+    pairs = [(None, "a"), ("a", None), ("", ""), ("", "ab"), ("ab", "")]
+    for n in (1, 61, 62, 63, 64, 123, 124, 125, 186, 187, 260):
+        for letters in ("ab", "abcdefgh", "äß漢😀\n x"):
+            draw = lambda size, more="": "".join(rng.choice(letters + more) for _ in range(size))
+            pairs += [(draw(n), draw(n, "z")), (draw(n), draw(rng.randint(0, 250), "z")), (draw(n), "z" * 70)]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", distance.common_subsequence(F.col("a"), F.col("b")).alias("lcs"))
+    for r in df.collect():
+        assert r.lcs == (None if r.a is None or r.b is None else _lcs(r.a, r.b)), (r.a, r.b)
+
+
 def test_long_texts_with_characters_that_fold_to_several(spark):
     long = "plain words " * 20_000 + "… ™ ﬁ 한국 é ½ " * 50
     want = "".join(c for c in unicodedata.normalize("NFKD", long) if not unicodedata.combining(c))
