@@ -593,19 +593,23 @@ FROM x_memo m JOIN x_postings p USING (company_key) JOIN x_corp c USING (company
 """)
 
 # --- keyed upserts -------------------------------------------------------------------------------
-JOB_TEXTS = ("title", "organization", "description_text", "url", "seniority", "city", "region", "country")
+JOBS_REPLACED = ("title", "organization", "organization_slug", "date_posted", "description_text", "linkedin_org_employees", "raw", "scraped_at")
+JOBS_KEPT = (
+    "linkedin_job_id", "organization_url", "url", "seniority", "employment_type", "locations_derived", "city", "region", "country", "linkedin_org_size",
+    "linkedin_org_industry", "linkedin_org_headquarters", "linkedin_org_specialties", "linkedin_org_description", "is_recruitment_agency",
+)
 
 
 def order_rows(version: str, condition: str) -> str:
-    texts = ", ".join(f"'{version} {c} ' || o_orderpriority AS {c}" for c in JOB_TEXTS)
-    return f"SELECT 'J' || {s('o_orderkey')} AS id, o_orderkey AS n, {texts} FROM orders WHERE {condition}"
+    texts = ", ".join(f"'{version} {c} ' || {s('o_orderkey')} AS {c}" for c in JOBS_REPLACED + JOBS_KEPT)
+    return f"SELECT 'J' || {s('o_orderkey')} AS id, {texts} FROM orders WHERE {condition}"
 
 
 CTE["x_old_jobs"] = order_rows("old", "o_orderkey % 3 <> 0")
 CTE["x_new_jobs"] = order_rows("new", "o_orderkey % 5 <> 0 OR o_orderkey % 3 = 0")
 CTE["x_merged_jobs"] = "SELECT id, " + ", ".join(
-    [f"CASE WHEN nw.id IS NOT NULL THEN nw.{c} ELSE od.{c} END AS {c}" for c in ("title", "organization", "description_text", "n")]
-    + [f"CASE WHEN od.id IS NOT NULL THEN od.{c} ELSE nw.{c} END AS {c}" for c in ("url", "seniority", "city", "region", "country")]
+    [f"CASE WHEN nw.id IS NOT NULL THEN nw.{c} ELSE od.{c} END AS {c}" for c in JOBS_REPLACED]
+    + [f"CASE WHEN od.id IS NOT NULL THEN od.{c} ELSE nw.{c} END AS {c}" for c in JOBS_KEPT]
 ) + ", CAST(od.id IS NULL AS INT) AS created FROM x_new_jobs nw FULL JOIN x_old_jobs od USING (id)"
 oracle("q_upsert_jobs", "SELECT * FROM x_merged_jobs")
 oracle("q_batch_counts", """
@@ -620,18 +624,22 @@ SELECT company_key AS linkedin_slug, {row_id('company_key')} AS id, CASE WHEN nw
   CASE WHEN nw THEN 'new' ELSE 'old' END AS checked_at, CASE WHEN nw THEN 'new' ELSE 'old' END AS updated_at, CASE WHEN od THEN 'old' ELSE 'new' END AS created_at, CAST(nw AND NOT od AS INT) AS created
 FROM (SELECT *, first_seq AS k, first_seq % 3 <> 0 AS od, first_seq % 4 <> 0 OR first_seq % 3 = 0 AS nw FROM x_judged) WHERE od OR nw
 """)
+CONTACTS_KEPT = (
+    "company_id", "full_name", "location", "id", "normalized_full_name", "linkedin_url", "about_snippet", "provider", "cascade_level", "target_title", "found_at", "created_at",
+)
+CONTACTS_REPLACED = ("title", "validation_reason", "validation_decision", "validated_at")
 CTE["x_contact_batch"] = f"""
 SELECT {contact_key(person_url('l_suppkey'), person_name('l_suppkey'), "''", "'site.example'")} AS dedup_key, {row_id(s('l_orderkey'))} AS company_id, {person_name('l_suppkey')} AS full_name,
-  'line ' || {s('l_linenumber')} AS title, 'part ' || {s('l_partkey')} AS validation_reason, 'City ' || {s('l_partkey % 40')} AS location, row(l_orderkey, l_linenumber, l_partkey, l_suppkey) AS pos
+  'line ' || {s('l_linenumber')} AS title, 'part ' || {s('l_partkey')} AS validation_reason, 'City ' || {s('l_partkey % 40')} AS location,
+  {", ".join(f"'{c} ' || {s('l_orderkey')} || '/' || {s('l_linenumber')} AS {c}" for c in CONTACTS_KEPT[3:] + CONTACTS_REPLACED[2:])}, row(l_orderkey, l_linenumber, l_partkey, l_suppkey) AS pos
 FROM lineitem
 """
 CTE["x_contact_old"] = f"SELECT DISTINCT {contact_key(person_url('s_suppkey'), person_name('s_suppkey'), chr(39) * 2, lit('site.example'))} AS dedup_key FROM supplier WHERE s_suppkey % 3 = 0"
-oracle("q_upsert_contacts", """
-SELECT dedup_key, CASE WHEN o.dedup_key IS NOT NULL THEN 'stored company' ELSE company_id END AS company_id, CASE WHEN o.dedup_key IS NOT NULL THEN 'stored name' ELSE full_name END AS full_name,
-  CASE WHEN o.dedup_key IS NOT NULL THEN 'stored place' ELSE location END AS location, coalesce(title, 'stored title') AS title, coalesce(validation_reason, 'stored reason') AS validation_reason,
-  CAST(o.dedup_key IS NULL AS INT) AS created
-FROM (SELECT dedup_key, arg_min(company_id, pos) AS company_id, arg_min(full_name, pos) AS full_name, arg_min(location, pos) AS location, arg_max(title, pos) AS title, arg_max(validation_reason, pos) AS validation_reason
-      FROM x_contact_batch GROUP BY dedup_key) FULL JOIN x_contact_old o USING (dedup_key)
+oracle("q_upsert_contacts", f"""
+SELECT dedup_key, {", ".join(f"CASE WHEN o.dedup_key IS NOT NULL THEN 'stored {c}' ELSE n.{c} END AS {c}" for c in CONTACTS_KEPT)},
+  {", ".join(f"CASE WHEN n.dedup_key IS NOT NULL THEN n.{c} ELSE 'stored {c}' END AS {c}" for c in CONTACTS_REPLACED)}, CAST(o.dedup_key IS NULL AS INT) AS created
+FROM (SELECT dedup_key, {", ".join(f"arg_min({c}, pos) AS {c}" for c in CONTACTS_KEPT)}, {", ".join(f"arg_max({c}, pos) AS {c}" for c in CONTACTS_REPLACED)}
+      FROM x_contact_batch GROUP BY dedup_key) n FULL JOIN x_contact_old o USING (dedup_key)
 """)
 oracle("q_upsert_queries", f"""
 SELECT {row_id('company_key')} AS company_id, target_title, CASE WHEN od THEN 'old id' ELSE {row_id('company_key', 'target_title')} END AS id, CASE WHEN nw THEN 'prospeo' ELSE '' END AS provider,
@@ -662,13 +670,20 @@ CTE["x_rest"] = "SELECT u.* FROM x_rollup u JOIN x_matched m USING (company_key)
 CTE["x_rest_judged"] = evaluated("x_rest")
 CTE["x_rest_targets"] = f"SELECT *, {lead_title('employees')} AS target_title FROM x_rest_judged WHERE decision = 'fit'"
 CTE["x_rest_best"] = best("x_people", "x_rest_targets")
-CTE["x_rest_memo"] = memo("x_rest_best")
-CTE["x_rest_pairs"] = f"""
-SELECT *, v.decision AS pair_decision FROM (SELECT m.*, j.id AS job_id, {person_rule('m.judged_title', 'm.size_band')} AS v FROM x_rest_memo m JOIN x_jobs j USING (company_key))
+CTE["x_met_judged"] = f"""
+SELECT j.company_key, j.first_seq, j.employees, {band('j.employees')} AS size_band, s.domain, coalesce(s.decision, j.decision) AS decision, s.company_key IS NOT NULL AS cached
+FROM x_rest_judged j LEFT JOIN x_stored s USING (company_key)
+"""
+CTE["x_met_targets"] = f"SELECT *, {lead_title('employees')} AS target_title FROM x_met_judged WHERE decision = 'fit' AND {lead_title('employees')} IS NOT NULL"
+CTE["x_met_searched"] = "SELECT * FROM x_met_targets t WHERE NOT EXISTS (SELECT 1 FROM x_guard g WHERE g.company_key = t.company_key AND g.target_title = t.target_title)"
+CTE["x_met_best"] = best("x_people", "x_met_searched")
+CTE["x_met_memo"] = memo("x_met_best")
+CTE["x_met_pairs"] = f"""
+SELECT *, v.decision AS pair_decision FROM (SELECT m.*, j.id AS job_id, {person_rule('m.judged_title', 'm.size_band')} AS v FROM x_met_memo m JOIN x_jobs j USING (company_key))
 """
-CTE["x_rest_settled"] = f"""
+CTE["x_met_settled"] = f"""
 SELECT company_key, result_pos, {contact_key('linkedin_url', 'full_name', 'company_domain', 'domain')} AS dedup_key, bool_or(pair_decision = 'yes') AS kept,
-  count(*) FILTER (WHERE pair_decision = 'yes') AS n_links, count(*) FILTER (WHERE is_first) AS n_validations FROM x_rest_pairs GROUP BY ALL
+  count(*) FILTER (WHERE pair_decision = 'yes') AS n_links, count(*) FILTER (WHERE is_first) AS n_validations FROM x_met_pairs GROUP BY ALL
 """
 FUNNEL = [
     ("scrape", "jobs_scraped", "count(*) FROM x_jobs"),
@@ -676,21 +691,21 @@ FUNNEL = [
     ("exclude", "dropped_agencies", "count(*) FROM x_rollup JOIN x_matched USING (company_key) WHERE client_name IS NULL AND any_agency"),
     ("exclude", "active_client_companies", "count(DISTINCT client_name) FROM x_matched"),
     ("exclude", "active_client_job_rows", "count(*) FROM x_jobs JOIN x_matched USING (company_key) WHERE client_name IS NOT NULL"),
-    ("fit_check", "fit", "count(*) FROM x_rest_judged WHERE decision = 'fit'"),
-    ("fit_check", "not_fit", "count(*) FROM x_rest_judged WHERE decision <> 'fit'"),
-    ("fit_check", "cached", "CAST(0 AS BIGINT)"),
+    ("fit_check", "fit", "count(*) FROM x_met_judged WHERE decision = 'fit'"),
+    ("fit_check", "not_fit", "count(*) FROM x_met_judged WHERE decision <> 'fit'"),
+    ("fit_check", "cached", "count(*) FROM x_met_judged WHERE cached"),
     ("fit_check", "odd_confidence", "CAST(0 AS BIGINT)"),
-    ("people", "hits", "count(DISTINCT company_key) FROM x_rest_best"),
-    ("people", "no_candidate", "count(*) FROM x_rest_targets WHERE company_key NOT IN (SELECT company_key FROM x_rest_best)"),
-    ("people", "searches", "count(*) FROM x_rest_targets"),
-    ("people", "candidates_returned", "count(*) FROM x_rest_best"),
-    ("people", "skipped_already_queried", "CAST(0 AS BIGINT)"),
-    ("validate", "candidates_kept", "count(*) FROM x_rest_settled WHERE kept"),
-    ("validate", "dropped", "count(*) FROM x_rest_settled WHERE NOT kept"),
-    ("validate", "validations_run", "CAST(sum(n_validations) AS BIGINT) FROM x_rest_settled"),
-    ("validate", "job_links", "CAST(sum(n_links) AS BIGINT) FROM x_rest_settled WHERE kept"),
-    ("validate", "contacts_created", "count(DISTINCT dedup_key) FROM x_rest_settled WHERE kept"),
-    ("validate", "contacts_existing", "count(*) - count(DISTINCT dedup_key) FROM x_rest_settled WHERE kept"),
+    ("people", "hits", "count(DISTINCT company_key) FROM x_met_best"),
+    ("people", "no_candidate", "count(*) FROM x_met_searched WHERE company_key NOT IN (SELECT company_key FROM x_met_best)"),
+    ("people", "searches", "count(*) FROM x_met_searched"),
+    ("people", "candidates_returned", "count(*) FROM x_met_best"),
+    ("people", "skipped_already_queried", "count(*) FROM x_met_targets WHERE company_key NOT IN (SELECT company_key FROM x_met_searched)"),
+    ("validate", "candidates_kept", "count(*) FROM x_met_settled WHERE kept"),
+    ("validate", "dropped", "count(*) FROM x_met_settled WHERE NOT kept"),
+    ("validate", "validations_run", "CAST(sum(n_validations) AS BIGINT) FROM x_met_settled"),
+    ("validate", "job_links", "CAST(sum(n_links) AS BIGINT) FROM x_met_settled WHERE kept"),
+    ("validate", "contacts_created", "count(DISTINCT dedup_key) FROM x_met_settled WHERE kept AND dedup_key NOT IN (FROM x_contact_old)"),
+    ("validate", "contacts_existing", "count(*) - count(DISTINCT CASE WHEN dedup_key NOT IN (FROM x_contact_old) THEN dedup_key END) FROM x_met_settled WHERE kept"),
 ]
 oracle("q_funnel", " UNION ALL ".join(f"SELECT '{sec}' AS section, '{m}' AS metric, {q.replace(' FROM', ' AS value FROM', 1) if ' FROM' in q else q + ' AS value'}" for sec, m, q in FUNNEL))
 oracle("q_shortlist", f"""

@@ -14,7 +14,7 @@ from leadloom.functions.instants import epoch_micros, iso_instant
 from leadloom.functions.keys import contact_key, row_id
 from leadloom.functions.replies import fit_reply, person_reply
 from leadloom.operators import checks, ingest, match, merge, people as ppl, qualify, report, rollup, validate
-from leadloom.plans import bindings as b
+from leadloom.plans import bindings as b, funnel
 from leadloom.rules import DEFAULT_RULES
 from leadloom.session import spread_small, written
 
@@ -504,25 +504,17 @@ def q_validation_question(spark, sf):
 
 # --- keyed upserts -------------------------------------------------------------------------------
 def _order_rows(spark, sf, version: str) -> DataFrame:
-    """Posting rows in two versions: what is stored, and what a later feed says of them."""
+    """Posting rows in two versions: what is stored, and what a later feed says of them. Every column of the table
+    holds a text that names the version, the column and the order."""
     o = F.col("o_orderkey")
-    tag = lambda name: F.concat(F.lit(f"{version} {name} "), F.col("o_orderpriority"))
-    texts = {c: tag(c) for c in ("title", "organization", "description_text", "url", "seniority", "city", "region", "country")}
-    rows = b.table(spark, sf, "orders").select(
-        F.concat(F.lit("J"), o.cast("string")).alias("id"), o.alias("n"), F.col("o_orderdate").alias("posted"),
-        *[v.alias(c) for c, v in texts.items()],
-    )
-    return rows.filter(o % 3 != 0) if version == "old" else rows.filter((o % 5 != 0) | (o % 3 == 0))
-
-
-JOB_POLICY = merge.Upsert(
-    keys=("id",), replace=("title", "organization", "description_text", "n"), keep=("url", "seniority", "city", "region", "country"),
-)
+    text = lambda c: F.concat(F.lit(f"{version} {c} "), o.cast("string"))
+    rows = b.table(spark, sf, "orders").filter(o % 3 != 0 if version == "old" else (o % 5 != 0) | (o % 3 == 0))
+    return rows.select(F.concat(F.lit("J"), o.cast("string")).alias("id"), *[text(c).alias(c) for c in merge.JOBS.columns if c != "id"])
 
 
 @query
 def q_upsert_jobs(spark, sf):
-    merged = merge.keyed_merge(_order_rows(spark, sf, "old"), _order_rows(spark, sf, "new"), JOB_POLICY)
+    merged = merge.keyed_merge(_order_rows(spark, sf, "old"), _order_rows(spark, sf, "new"), merge.JOBS)
     return merged.withColumn("created", F.col("created").cast("int"))
 
 
@@ -530,7 +522,7 @@ def q_upsert_jobs(spark, sf):
 def q_batch_counts(spark, sf):
     """New and already stored ids of a batch."""
     old, new = _order_rows(spark, sf, "old"), _order_rows(spark, sf, "new")
-    return merge.batch_counts(merge.keyed_merge(old, new, JOB_POLICY, only_touched=True))
+    return merge.batch_counts(merge.keyed_merge(old, new, merge.JOBS, only_touched=True))
 
 
 @query
@@ -564,7 +556,19 @@ def q_upsert_companies(spark, sf):
     )
 
 
-CONTACT_POLICY = merge.Upsert(keys=("dedup_key",), replace=("title", "validation_reason"), keep=("company_id", "full_name", "location"))
+#: Columns of contacts that the batch below fills with their own name and the line they come from.
+CONTACT_TEXTS = (
+    "id", "normalized_full_name", "linkedin_url", "about_snippet", "provider", "cascade_level", "target_title", "found_at", "created_at",
+    "validation_decision", "validated_at",
+)
+
+
+def _stored_contacts(spark, sf) -> DataFrame:
+    """Contacts met before: every third supplier's person."""
+    s = F.col("s_suppkey")
+    key = contact_key(b.person_url(s), b.person_name(s), F.lit(""), F.lit("site.example"))
+    others = [F.lit(f"stored {c}").alias(c) for c in merge.CONTACTS.columns if c != "dedup_key"]
+    return b.table(spark, sf, "supplier").filter(s % 3 == 0).select(key.alias("dedup_key")).distinct().select("dedup_key", *others)
 
 
 def _contact_batch(spark, sf) -> DataFrame:
@@ -575,20 +579,15 @@ def _contact_batch(spark, sf) -> DataFrame:
         row_id(o.cast("string")).alias("company_id"), b.person_name(s).alias("full_name"),
         F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("title"), F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("validation_reason"),
         F.concat(F.lit("City "), (F.col("l_partkey") % 40).cast("string")).alias("location"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("pos"), s.alias("s"),
+        *[F.concat(F.lit(f"{c} "), o.cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias(c) for c in CONTACT_TEXTS],
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("pos"),
     )
 
 
 @query
 def q_upsert_contacts(spark, sf):
     """Many batch rows per key: the first sets the kept columns, the last the replaced ones."""
-    batch = _contact_batch(spark, sf)
-    stored = b.table(spark, sf, "supplier").filter(F.col("s_suppkey") % 3 == 0).select(
-        contact_key(b.person_url(F.col("s_suppkey")), b.person_name(F.col("s_suppkey")), F.lit(""), F.lit("site.example")).alias("dedup_key"),
-        F.lit("stored company").alias("company_id"), F.lit("stored name").alias("full_name"), F.lit("stored place").alias("location"),
-        F.lit("stored title").alias("title"), F.lit("stored reason").alias("validation_reason"),
-    ).distinct()
-    merged = merge.keyed_merge(stored, batch, CONTACT_POLICY, F.col("pos"))
+    merged = merge.keyed_merge(_stored_contacts(spark, sf), _contact_batch(spark, sf), merge.CONTACTS, F.col("pos"))
     return merged.withColumn("created", F.col("created").cast("int"))
 
 
@@ -611,8 +610,8 @@ def q_upsert_queries(spark, sf):
 def q_rerun_noop(spark, sf):
     """Applying a batch a second time changes no row."""
     old, new = _order_rows(spark, sf, "old"), _order_rows(spark, sf, "new")
-    once = merge.keyed_merge(old, new, JOB_POLICY).drop("created")
-    twice = merge.keyed_merge(once, new, JOB_POLICY)
+    once = merge.keyed_merge(old, new, merge.JOBS).drop("created")
+    twice = merge.keyed_merge(once, new, merge.JOBS)
     same = F.lit(True)
     pairs = once.alias("a").join(twice.alias("b"), F.col("a.id") == F.col("b.id"), "full_outer")
     for c in once.columns:
@@ -653,23 +652,27 @@ def q_table_totals(spark, sf):
 
 @query
 def q_funnel(spark, sf):
-    """Counters of all stages over the feed, nothing stored before."""
+    """Counters of all stages over the feed, with verdicts, queries and contacts that earlier runs have stored."""
     jobs = _jobs(spark, sf)
     matched = written(_matched_companies(spark, sf, jobs), "matched")
     found, _, rest = match.split_matched(matched)
     client_rows = match.client_postings(jobs, found, as_of())
-    decided = written(qualify.evaluate(rest).withColumn("cached", F.lit(False)), "verdicts")
-    targets = ppl.with_target(decided.filter("decision = 'fit'"))
-    best = written(ppl.people_of(targets, b.people(spark, sf)), "best")
-    outcomes = ppl.query_outcomes(targets, best)
-    facts = targets.select("company_key", "first_seq", "size_band", "domain")
-    pairs = validate.judge(validate.pair_up(validate.with_memo(best.join(facts, "company_key")), jobs))
+    decided = written(qualify.decide(rest, _stored_verdicts(spark, sf), as_of()), "verdicts")
+    fit = ppl.with_target(decided.filter("decision = 'fit'")).withColumn("size_band", qualify.size_band(F.col("employees")))
+    searched, skipped = ppl.unqueried(fit, _guard(spark, sf))
+    searched = written(searched, "searched")
+    best = written(ppl.people_of(searched, b.people(spark, sf)), "best")
+    outcomes = ppl.query_outcomes(searched, best)
+    pairs = validate.judge(validate.pair_up(funnel.candidate_rows(best, searched, DEFAULT_RULES), jobs))
     settled = written(validate.settle(pairs, SETTLE_KEY), "settled")
-    contacts = validate.contact_batch(settled, as_of()).select("dedup_key").distinct().withColumn("created", F.lit(True))
+    batch = funnel.contact_rows(validate.contact_batch(settled, as_of()), as_of())
+    kinds = {f.name: f.dataType for f in batch.schema.fields}
+    stored = _stored_contacts(spark, sf).select("dedup_key", *[F.lit(None).cast(kinds[c]).alias(c) for c in merge.CONTACTS.columns if c != "dedup_key"])
+    touched = written(merge.keyed_merge(stored, batch, merge.CONTACTS, F.col("batch_pos"), only_touched=True), "touched")
     return report.stack(
         report.counters(jobs, "scrape", {"jobs_scraped": F.count(F.lit(1))}),
         report.exclude_counters(matched, client_rows), report.fit_counters(decided),
-        report.people_counters(outcomes, targets.limit(0)), report.validate_counters(settled, contacts),
+        report.people_counters(outcomes, skipped), report.validate_counters(settled, touched),
     )
 
 
