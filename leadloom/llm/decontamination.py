@@ -5,9 +5,9 @@
    ``T'(T W)`` for a random ``W``, with the passage frequencies, and as the inverse-frequency weights
    only scale rows, the driver turns the sums into the decomposition of the weighted matrix.
 2. Each term gets a vector in that space, scaled so that all directions count alike. Windows of a document
-   and benchmark items are sums of term vectors; windows of fitting length whose cosine with an
-   item is high are candidates. Foreign words in a window and replaced words lower the cosine, so windows
-   that hold as many of an item's words as a paraphrase must keep are candidates whatever their cosine.
+   and benchmark items are sums of term vectors; windows of fitting length whose cosine with an item reaches what
+   its weakest paraphrase is expected to have in such a window, less a margin, are candidates. Only items with
+   too few weighted words to have a direction are searched by word counts.
 3. A candidate is confirmed by the longest common subsequence of words with the item, and a paraphrase, which
    keeps fewer of them, must keep the item's answer (its last part).
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -31,10 +32,11 @@ from leadloom.llm.words import NO_ALNUM, Block, blocks, hashes, split
 from leadloom.session import written
 
 TERMS = 1 << 14
-RANK = 48
+RANK = 96
 PASSAGE = 32
-GRAIN = 8
-COSINE = 0.45
+GRAIN = 4
+#: How far below the expected cosine of the weakest paraphrase a candidate may lie, in spreads of chance agreement.
+MARGIN = 1.0
 COMMON_SHARE = 0.005
 #: Items with fewer weighted words have no reliable direction: they are searched by word counts only.
 WEIGHTED_WORDS = 4
@@ -45,10 +47,11 @@ ANSWER_SHARE = 0.6
 SHORT_ITEM = 8
 #: Items searched for in one pass; more are taken in several passes.
 ITEMS_PER_PASS = 20_000
-#: Items, and words of items, compared with a block at once; these and the next two bound memory, not results.
-ITEMS_AT_ONCE, WORDS_AT_ONCE = 128, 4096
-#: Candidates whose subsequences are measured at once, and words of the longest item for which that is done.
-CANDIDATES_AT_ONCE = 1 << 13
+#: Items and windows compared at once, and words of candidates measured at once; these bound memory, not results.
+ITEMS_AT_ONCE, WINDOWS_AT_ONCE, CANDIDATE_WORDS = 256, 1 << 12, 1 << 19
+#: Grains of a block up to which single precision does for running sums.
+SHORT_BLOCK = 1 << 17
+#: Words of the longest item whose subsequences are measured for many candidates at once.
 LONG_ITEM = 496
 _LIMB = 62
 _SEED = 11
@@ -193,13 +196,13 @@ def decomposed(sums: np.ndarray, seen: np.ndarray, passages: int) -> Space:
 
 def window_class(length: int) -> tuple[int, int]:
     """How many grains a window has, and by how many windows are apart, so that any run of ``length`` words lies
-    within some window. Short items leave much of it to other words: nine words fill three eighths."""
-    for width in (2, 3, 4, 6, 9, 13, 18, 25, 34, 46):
-        stride = max(1, width // 4)
+    within some window. The item fills half of it at least, from nine words on."""
+    for width in (3, 4, 7, 9, 11, 14, 18, 22, 28, 36, 46, 60):
+        stride = width // 3
         if (width - stride) * GRAIN >= length:
             return width, stride
-    width = -(-length * 4 // (3 * GRAIN)) + 1
-    return width, max(1, width // 4)
+    width = -(-length * 3 // (2 * GRAIN)) + 2
+    return width, width // 3
 
 
 def common_words(item_masks: dict[int, int], length: int, words: list[int]) -> int:
@@ -215,87 +218,139 @@ def common_words(item_masks: dict[int, int], length: int, words: list[int]) -> i
 
 
 class Query(NamedTuple):
-    """Items of one window class: their vectors as unit columns, the cosines and the counts of their words from
-    which a window is a candidate, and their masks by word."""
+    """Items of one window class: their vectors as unit columns, the cosines from which a window is a candidate, which
+    items (without a reliable direction) are searched by word counts instead, how many words a match keeps, and the
+    places of each item's words: sorted keys of item and word number, and the bits of the places in limbs."""
 
     width: int
     stride: int
     items: list[Item]
     vectors: np.ndarray
     least: np.ndarray
+    counted: np.ndarray
     needed: np.ndarray
+    keys: np.ndarray
+    hashed: np.ndarray
+    places: np.ndarray
     masks: list[dict[int, int]]
 
 
-def queries(items: list[Item], space: Space) -> list[Query]:
-    by_class: dict[tuple[int, int], list[Item]] = {}
+class Wanted(NamedTuple):
+    """All items searched for in a pass: their different words, sorted, and the queries."""
+
+    words: np.ndarray
+    queries: list[Query]
+
+
+def least_cosine(weighted: np.ndarray, window: int, dimensions: int) -> np.ndarray:
+    """The cosine from which a window is a candidate. With ``n`` weighted words of an item, of which a paraphrase keeps PARAPHRASE_SHARE,
+    among ``m`` words of a window, a cosine of ``share * sqrt(n / m)`` is expected in directions that count
+    alike; the chance agreement of the other words spreads it by one over the root of the dimensions at most."""
+    expected = PARAPHRASE_SHARE * np.sqrt(np.minimum(weighted / window, 1.0))
+    return expected - MARGIN * np.sqrt((1 - expected**2) / max(dimensions, 1))
+
+
+def queries(items: list[Item], space: Space) -> Wanted:
+    by_class: dict[tuple[int, int, bool], list[Item]] = {}
     for item in items:
         if len(item.words):
-            by_class.setdefault(window_class(len(item.words)), []).append(item)
+            by_class.setdefault((*window_class(len(item.words)), len(item.words) > LONG_ITEM), []).append(item)
+    known = np.unique(np.concatenate([i.words for i in items if len(i.words)] or [np.zeros(0, np.uint64)]))
+    lengths = np.linalg.norm(space.vectors, axis=1)
+    dimensions = int(np.count_nonzero(np.abs(space.vectors).max(0, initial=0)))
     out = []
-    for width, stride, group in _groups(by_class):
-        vectors = np.stack([space.vectors[(i.words & np.uint64(TERMS - 1)).astype(np.int64)].sum(0) for i in group])
+    for (width, stride, long), group in sorted(by_class.items(), key=lambda x: x[0]):
+        terms = [(i.words & np.uint64(TERMS - 1)).astype(np.int64) for i in group]
+        vectors = np.stack([space.vectors[t].sum(0) for t in terms])
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-        lengths = np.linalg.norm(space.vectors, axis=1)
-        weighted = [np.count_nonzero(lengths[(i.words & np.uint64(TERMS - 1)).astype(np.int64)]) for i in group]
-        least = np.where(np.array(weighted) < WEIGHTED_WORDS, np.inf, COSINE)
+        weighted = np.array([np.count_nonzero(lengths[t]) for t in terms])
+        counted = weighted < WEIGHTED_WORDS
+        least = np.where(counted, np.inf, least_cosine(weighted, width * GRAIN, dimensions))
         # a window that holds fewer of an item's words, in whatever order, cannot be confirmed
         needed = [n if n < SHORT_ITEM else math.ceil(PARAPHRASE_SHARE * n - 1e-9) for n in (len(i.words) for i in group)]
+        limbs = 0 if long else -(-max(len(i.words) for i in group) // _LIMB)
+        item = np.repeat(np.arange(len(group)), [len(i.words) for i in group])
+        place = np.concatenate([np.arange(len(i.words)) for i in group])
+        number = np.searchsorted(known, np.concatenate([i.words for i in group]))
+        keys, at = np.unique(item * (len(known) + 1) + number, return_inverse=True)
+        hashed = np.zeros(1 << max(10, (16 * len(keys)).bit_length()), dtype=np.uint8)
+        hashed[slots(item, number, len(hashed))] = 1
+        places = np.zeros((limbs, len(keys) + 1), dtype=np.uint64)  # the last one: no place
+        if limbs:
+            np.bitwise_or.at(places, (place // _LIMB, at), np.uint64(1) << (place % _LIMB).astype(np.uint64))
         masks = []
-        for item in group:
+        for one in group:
             mask: dict[int, int] = {}
-            for k, word in enumerate(item.words.tolist()):
+            for k, word in enumerate(one.words.tolist()):
                 mask[word] = mask.get(word, 0) | (1 << k)
             masks.append(mask)
-        out.append(Query(width, stride, group, (vectors / np.maximum(norms, 1e-12)).T.astype(np.float32), least, np.array(needed), masks))
-    return out
-
-
-def _groups(by_class: dict[tuple[int, int], list[Item]]) -> Iterator[tuple[int, int, list[Item]]]:
-    for (width, stride), group in sorted(by_class.items()):
-        size = max(1, min(ITEMS_AT_ONCE, WORDS_AT_ONCE // (width * GRAIN)))
-        for first in range(0, len(group), size):
-            yield width, stride, group[first : first + size]
-
-
-class Vocabulary(NamedTuple):
-    """The words of a group of items: number of each of a block's words (the last number: in no item), which item
-    (column) has which word, and the bits of the places a word has in an item, in limbs."""
-
-    number: np.ndarray
-    member: np.ndarray
-    places: np.ndarray
-
-
-def vocabulary(distinct: np.ndarray, which: np.ndarray, group: list[Item]) -> Vocabulary:
-    """``distinct``: a block's different words, sorted; ``which``: the one that stands at each place."""
-    known, number = np.unique(np.concatenate([i.words for i in group]), return_inverse=True)
-    lengths = [len(i.words) for i in group]
-    item = np.repeat(np.arange(len(group)), lengths)
-    place = np.concatenate([np.arange(n) for n in lengths])
-    member = np.zeros((len(known) + 1, len(group)), dtype=np.uint8)
-    member[number, item] = 1
-    places = np.zeros((-(-max(lengths) // _LIMB) if max(lengths) <= LONG_ITEM else 0, len(known) + 1, len(group)), dtype=np.uint64)
-    if len(places):
-        np.bitwise_or.at(places, (place // _LIMB, number, item), np.uint64(1) << (place % _LIMB).astype(np.uint64))
-    at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
-    return Vocabulary(np.where(known[at] == distinct, at, len(known)).astype(np.int32)[which], member, places)
-
-
-def common_lengths(known: Vocabulary, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
-    """Lengths of the longest common subsequences of the words from ``low`` to ``high`` with an item each: the recurrence of
-    ``common_words`` for many windows at once, with carries from limb to limb. Bits beyond an item stay set."""
-    nobody, full = len(known.member) - 1, np.uint64((1 << _LIMB) - 1)
-    rows = np.full((len(known.places), len(low)), full)
-    for k in range(int((high - low).max(initial=0))):
-        number = np.where(low + k < high, known.number[np.minimum(low + k, len(known.number) - 1)], nobody)
+        unit = (vectors / np.maximum(norms, 1e-12)).T.astype(np.float32)
+        out.append(Query(width, stride, group, unit, least.astype(np.float32), counted, np.array(needed), keys, hashed, places, masks))
+    return Wanted(known, out)
+
+
+def slots(item: np.ndarray, number: np.ndarray, size: int) -> np.ndarray:
+    """A place for a word of an item in a table of ``size`` (a power of two) bytes; others may share it."""
+    return (item * 0x9E3779B1 + number * 0x85EBCA77 >> 7) & (size - 1)
+
+
+def words_held(q: Query, number: np.ndarray, nobody: int, begin: np.ndarray, end: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(windows, items) for the items without a reliable direction: windows that hold enough of their words. ``number`` is
+    that of each word of the block in the vocabulary (``nobody``: in none); windows go from grain ``begin`` to ``end``."""
+    edges = np.append(starts, len(number))
+    for item in np.flatnonzero(q.counted):
+        own = q.keys[np.searchsorted(q.keys, item * (nobody + 1)) : np.searchsorted(q.keys, (item + 1) * (nobody + 1))] - item * (nobody + 1)
+        held = np.zeros(nobody + 1, dtype=bool)
+        held[own] = True
+        running = np.concatenate([[0], np.cumsum(held[number])])
+        window = np.flatnonzero(running[edges[end]] - running[edges[begin]] >= q.needed[item])
+        yield window, np.full(len(window), item)
+
+
+def near(q: Query, z: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(windows, items) whose cosine reaches the item's least; ``z``: unit vectors of windows."""
+    for first in range(0, len(q.items), ITEMS_AT_ONCE):
+        cosine = z @ q.vectors[:, first : first + ITEMS_AT_ONCE]
+        window, item = np.nonzero(cosine >= q.least[first : first + ITEMS_AT_ONCE])
+        yield window, item + first
+
+
+def kept_in_order(q: Query, number: np.ndarray, multiplied: np.ndarray, nobody: int, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Which candidates, the words from ``low`` to ``high`` with an item each, keep as many of the item's words in order as a
+    match must; ``multiplied``: numbers as ``slots`` takes them. Words are counted first; the rest is the recurrence of ``common_words`` for many candidates at once, with carries
+    from limb to limb. Bits beyond an item stay set."""
+    longest = int((high - low).max(initial=0))
+    held, salt = np.zeros(len(low), dtype=np.int32), item * 0x9E3779B1
+    for k in range(longest):  # at least as many as there are: a place may be shared, and words beyond ``high`` count too
+        own = multiplied[np.minimum(low + k, len(number) - 1)]
+        held += q.hashed[salt + own >> 7 & (len(q.hashed) - 1)]
+    likely = held >= q.needed[item]
+    if not likely.any():
+        return likely
+    low, high, item = low[likely], high[likely], item[likely]
+    at = low[:, None] + np.arange(longest)
+    own = np.where(at < high[:, None], number[np.minimum(at, len(number) - 1)], nobody)
+    key = item[:, None] * (nobody + 1) + own
+    found = np.full(own.shape, len(q.keys))
+    some = own < nobody
+    where = np.minimum(np.searchsorted(q.keys, key[some]), len(q.keys) - 1)
+    found[some] = np.where(q.keys[where] == key[some], where, len(q.keys))
+    enough = np.count_nonzero(found < len(q.keys), axis=1) >= q.needed[item]
+    if not len(q.places) or not enough.any():
+        likely[likely] = enough
+        return likely
+    found, full = found[enough], np.uint64((1 << _LIMB) - 1)
+    rows = np.full((len(q.places), len(found)), full)
+    for k in range(found.shape[1]):
         carry = np.uint64(0)
-        for row, places in zip(rows, known.places, strict=True):
-            kept = row & places[number, item]
+        for row, places in zip(rows, q.places, strict=True):
+            kept = row & places[found[:, k]]
             total = row + kept + carry
             carry = total >> np.uint64(_LIMB)
             row[:] = (total & full) | (row - kept)
-    return np.bitwise_count(~rows & full).sum(0, dtype=np.int64)
+    enough[enough] = np.bitwise_count(~rows & full).sum(0, dtype=np.int64) >= q.needed[item[enough]]
+    likely[likely] = enough
+    return likely
 
 
 def confirmed(item: Item, masks: dict[int, int], words: list[int]) -> tuple[str, float, float] | None:
@@ -316,45 +371,44 @@ def confirmed(item: Item, masks: dict[int, int], words: list[int]) -> tuple[str,
     return ("paraphrase", share, answer) if answer >= ANSWER_SHARE else None
 
 
-def search(block: Block, wanted: list[Query], space: Space) -> Iterator[tuple]:
+def search(block: Block, wanted: Wanted, space: Space) -> Iterator[tuple]:
     """(row, item, kind, share, answer share, cosine, first word, words) of the block's matches, one for each
     row and item: the one that shares most."""
     words, bounds = block_words(block)
     terms, starts, per_row = runs(words, bounds, GRAIN)
-    if not len(starts):
+    if not len(starts) or not len(wanted.words):
         return
     edge = np.concatenate([[0], np.cumsum(per_row)])
-    running = np.zeros((len(starts) + 1, RANK), dtype=np.float64)
+    running = np.zeros((len(starts) + 1, RANK), dtype=np.float32 if len(starts) <= SHORT_BLOCK else np.float64)
     np.cumsum(summed(space.vectors, terms), axis=0, out=running[1:])
     row = np.repeat(np.arange(len(per_row)), per_row)
     nth = np.arange(len(starts)) - edge[row]
+    nobody = len(wanted.words)
     distinct, which = np.unique(words, return_inverse=True)
-    at = starts[:, None] + np.arange(GRAIN)
-    inside, at = at < bounds[row + 1][:, None], np.minimum(at, len(words) - 1)
+    at = np.minimum(np.searchsorted(wanted.words, distinct), nobody - 1)
+    number = np.where(wanted.words[at] == distinct, at, nobody)[which]
+    multiplied = number * 0x85EBCA77
     best: dict[tuple[int, int], tuple] = {}
-    for q in wanted:
+    for q in wanted.queries:
         # windows begin at every stride-th grain, as long as the one before did not reach the end of the row
-        begin = np.flatnonzero((nth % q.stride == 0) & ((nth == 0) | (nth + q.width - q.stride < per_row[row])))
-        end = np.minimum(begin + q.width, edge[row[begin] + 1])
-        z = (running[end] - running[begin]).astype(np.float32)
-        size = np.linalg.norm(z, axis=1)
-        cosine = (z @ q.vectors) / np.maximum(size, 1e-12)[:, None]
-        known = vocabulary(distinct, which, q.items)
-        held = np.zeros((len(starts) + 1, len(q.items)), dtype=np.int32)
-        np.cumsum(summed(known.member, np.where(inside, known.number[at], len(known.member) - 1)), axis=0, out=held[1:])
-        window, item = np.nonzero((cosine >= q.least) | (held[end] - held[begin] >= q.needed))
-        first = starts[begin]
-        last = np.where(end < edge[row[begin] + 1], starts[np.minimum(end, len(starts) - 1)], bounds[row[begin] + 1])
-        for some in range(0, len(window), CANDIDATES_AT_ONCE):
-            i, k = window[some : some + CANDIDATES_AT_ONCE], item[some : some + CANDIDATES_AT_ONCE]
-            if len(known.places):
-                enough = common_lengths(known, first[i], last[i], k) >= q.needed[k]
-                i, k = i[enough], k[enough]
-            for i, k in zip(i.tolist(), k.tolist(), strict=True):
-                r, own, low, high = int(row[begin[i]]), q.items[k], int(first[i]), int(last[i])
-                found = confirmed(own, q.masks[k], words[low:high].tolist())
-                if found and ((r, own.item_id) not in best or best[r, own.item_id][1] < found[1]):
-                    best[r, own.item_id] = (*found, float(cosine[i, k]), low - int(bounds[r]), high - low)
+        all_begin = np.flatnonzero((nth % q.stride == 0) & ((nth == 0) | (nth + q.width - q.stride < per_row[row])))
+        for part in range(0, len(all_begin), WINDOWS_AT_ONCE):
+            begin = all_begin[part : part + WINDOWS_AT_ONCE]
+            end = np.minimum(begin + q.width, edge[row[begin] + 1])
+            z = (running[end] - running[begin]).astype(np.float32, copy=False)
+            z /= np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-12)[:, None]
+            first = starts[begin]
+            last = np.where(end < edge[row[begin] + 1], starts[np.minimum(end, len(starts) - 1)], bounds[row[begin] + 1])
+            at_once = max(1, CANDIDATE_WORDS // (q.width * GRAIN))
+            for window, item in chain(near(q, z), words_held(q, number, nobody, begin, end, starts)):
+                for some in range(0, len(window), at_once):
+                    i, k = window[some : some + at_once], item[some : some + at_once]
+                    enough = kept_in_order(q, number, multiplied, nobody, first[i], last[i], k)
+                    for i, k in zip(i[enough].tolist(), k[enough].tolist(), strict=True):
+                        r, own, low, high = int(row[begin[i]]), q.items[k], int(first[i]), int(last[i])
+                        found = confirmed(own, q.masks[k], words[low:high].tolist())
+                        if found and ((r, own.item_id) not in best or best[r, own.item_id][1] < found[1]):
+                            best[r, own.item_id] = (*found, float(z[i] @ q.vectors[:, k]), low - int(bounds[r]), high - low)
     for (r, item_id), found in sorted(best.items()):
         yield (r, item_id, *found)
 
@@ -377,8 +431,8 @@ def find_leaks(
     """One row for each document and benchmark item that it holds: the key, ``item_id``, ``kind`` (copy or
     paraphrase), ``lcs_share``, ``answer_share``, ``cosine``, and the window: ``first_word`` and ``n_words``.
 
-    Every window of every document is compared with every item of its length class, and every window that
-    keeps enough of an item's words in order is found, whatever its cosine. Null and empty texts hold
+    Every window of every document is compared by cosine with every item of its length class; a window that keeps enough
+    of an item's words in order is found if its cosine reaches the item's least (``least_cosine``). Null and empty texts hold
     nothing; items without words are never found; items under eight words must occur word for word. Rows
     repeated under a key give a row each. An empty table on either side gives no rows. Null keys are kept.
     """
