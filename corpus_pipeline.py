@@ -17,33 +17,40 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the pairwise ranking accepts. It learns from a bounded sample of the labelled documents."""
+    """Documents that the pairwise ranking accepts. It learns from a bounded sample of the labelled documents.
+    Rows are judged each by its own text: null and empty texts as the empty one, equal texts alike, also under a repeated or null key. Without labels of
+    both classes all stay; an empty table stays empty. Extra columns pass through."""
     small_batches(spark)
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.keep_good(docs, model)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorization machine does not take for toxic; it learns as the first stage does."""
+    """Documents that the factorization machine does not take for toxic; it learns as the first stage does.
+    Odd rows, labels and tables are taken as there."""
     small_batches(spark)
     machine = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.remove_toxic(docs, machine)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id."""
+    """One document of each group of near-duplicates: that with the smallest id.
+    Texts without words are like nothing and stay, as rows without a key do; equal rows of one key leave one; differing texts under one key are judged each by itself.
+    An empty table stays empty; extra columns pass through."""
     small_batches(spark)
     return minhash.drop_near_duplicates(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, whether as a copy or as a paraphrase."""
+    """Documents that hold no benchmark item, whether as a copy or as a paraphrase.
+    Removal goes by row; null and empty texts and rows without a key stay. An empty table on either side changes nothing; extra columns pass through."""
     small_batches(spark)
     return decontamination.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in sequences of 2048 tokens."""
+    """The place of every piece of every document in sequences of 2048 tokens.
+    A null or empty text is its end mark alone; repeated rows and null keys are packed each; an empty table gives no rows; extra columns are not read."""
     small_batches(spark)
     import public_tokenizers
 

@@ -14,6 +14,13 @@ def remainder(key: str, modulus: int):
     return F.crc32(F.col(key).cast("string")) % modulus
 
 
+def sampled_texts(docs: DataFrame, sample: DataFrame, key: str, text: str) -> DataFrame:
+    """``_key``, ``_label`` and ``_text`` of the sampled keys, one row a key: of differing texts under one key that with the smallest hash.
+    However often a key is repeated, tasks send on one text of it each."""
+    picked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), "_key")
+    return picked.groupBy("_key").agg(F.max("_label").alias("_label"), F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+
+
 def labelled_sample(labels: DataFrame, label: str, key: str, rows_per_class: int) -> tuple[DataFrame, float]:
     """At most ``rows_per_class`` keys of each class (those with the smallest hashes), and the share of
     class 1 among all. Labels other than 0 and 1 and null keys are left out; a key with several labels

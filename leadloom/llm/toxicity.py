@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadloom.llm.sampling import ROWS_PER_CLASS, labelled_sample, remainder
+from leadloom.llm.sampling import ROWS_PER_CLASS, labelled_sample, remainder, sampled_texts
 from leadloom.llm.worker import give_back
 from leadloom.llm.words import NO_LETTER, Block, blocks, hashes, lowered, mixed, split
 
@@ -77,10 +77,10 @@ def fit(
 ) -> Machine:
     """A machine learnt from at most ``rows_per_class`` labelled rows of each class (the bound). Terms are
     extracted by tasks; what reaches the driver is the bounded sample's terms. Without rows of both
-    classes the machine is neutral and gives every text a score of 0.5."""
+    classes, or with an empty table, the machine is neutral and gives every text a score of 0.5. A null text is the empty
+    one; null keys, and labels that are null or neither 0 nor 1, are left out; of texts repeated under a key one counts."""
     sample, _ = labelled_sample(labels, label, key, rows_per_class)
-    picked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), "_key")
-    table = picked.select("_key", "_label", _terms("_text").alias("terms")).toArrow()
+    table = sampled_texts(docs, sample, key, text).select("_key", "_label", _terms("_text").alias("terms")).toArrow()
     y = table["_label"].to_numpy().astype(np.float64)
     lists = table["terms"].combine_chunks()
     counts = np.asarray(lists.value_lengths().fill_null(0), dtype=np.int64)
@@ -161,7 +161,7 @@ def margins(block: Block, machine: Machine, sieve: np.ndarray) -> np.ndarray:
 
 
 def toxicity(machine: Machine, text: Column) -> Column:
-    """The probability (0 to 1) that a text is toxic; a null text is scored as the empty one."""
+    """The probability (0 to 1) that a whole text is toxic, equal for equal texts; a null text is scored as the empty one."""
     sieve = np.zeros(1 << _SIEVE_BITS, dtype=bool)
     sieve[machine.terms & np.uint64((1 << _SIEVE_BITS) - 1)] = True
 
@@ -176,7 +176,8 @@ def toxicity(machine: Machine, text: Column) -> Column:
 
 
 def remove_toxic(docs: DataFrame, machine: Machine, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, that score below ``threshold``."""
+    """The rows of ``docs``, all columns of any name, that score below ``threshold``. Each row is judged by its own whole text: equal texts go or stay
+    together, a null text is scored as the empty one, null keys play no part; an empty table stays empty."""
     return docs.where(toxicity(machine, F.col(text)) < threshold)
 
 
