@@ -1,5 +1,6 @@
 import pytest
 
+from leadloom.llm.sampling import labelled_sample, sampled_texts
 from leadloom.llm import quality, toxicity
 
 from .data import no_docs, odd_docs, odd_rows, prose
@@ -54,3 +55,15 @@ def test_without_both_classes_the_models_are_neutral(spark, rows):
     machine, model = toxicity.fit(docs, labels, label="y"), quality.fit(docs, labels, label="y")
     assert {r[0] for r in docs.select(toxicity.toxicity(machine, docs["text"])).collect()} == {0.5}
     assert {r[0] for r in docs.select(quality.quality(model, docs["text"])).collect()} == {0.5}
+
+
+def test_a_repeated_key_sends_one_text(spark):
+    docs = spark.createDataFrame([(i % 3, prose(i, 12)) for i in range(300)] + [(None, "x"), (1, None)], "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(0, 1), (1, 0), (1, 1), (2, None), (7, 0), (None, 1)], "doc_id long, toxic int")
+    sample, share = labelled_sample(labels, "toxic", "doc_id", 10)
+    rows = sorted(sampled_texts(docs, sample, "doc_id", "text").collect())
+    assert [(r["_key"], r["_label"]) for r in rows] == [(0, 1), (1, 1)] and abs(share - 2 / 3) < 1e-12
+    again = sorted(sampled_texts(docs.repartition(2), sample, "doc_id", "text").collect())
+    assert rows == again
+    empty = docs.limit(0)
+    assert sampled_texts(empty, sample, "doc_id", "text").count() == 0
