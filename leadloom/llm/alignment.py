@@ -5,7 +5,7 @@ both are sorted by start, the largest end so far is accumulated, and a group end
 a group, A and B tokens whose bytes overlap are linked. How often each id pair is linked is counted over the corpus.
 
 Neither vocabulary has tokens that run from a character into a space after it, so a text may be cut before the first space of
-a run: both then encode the stretches one by one as they would encode the whole. Stretches repeat, so a task takes
+a run (a single space at its end stays with what is before it): both then encode the stretches one by one as they would encode the whole. Stretches repeat, so a task takes
 texts in chunks and encodes and aligns each distinct stretch of a chunk once. What a chunk has found is written:
 its pair counts are added up over the corpus by a shuffle on the pair, and come back to the chunk by its number.
 """
@@ -168,12 +168,14 @@ def wide_spaces(data: np.ndarray) -> np.ndarray:
 
 def stretches(texts: list[bytes], cut: bool) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The stretches of all texts, one after the other, and where each text's begin (and the end). A text is cut before a run of
-    spaces that follows something else; texts with white space outside ASCII stay whole."""
+    spaces that follows something else, but not before a single space at its end: B adds a stretch's first space by itself, and a stretch
+    without more would be the empty text to it. Texts with white space outside ASCII stay whole."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     bounds = np.append(0, np.cumsum([len(t) for t in texts], dtype=np.int64)).astype(np.int64)
     begins = np.zeros(len(data) + 1, dtype=bool)
     if cut and len(data):
         begins[1:-1] = (data[1:] == 32) & ~SPACE[data[:-1]]
+        begins[bounds[1:] - 1] = False
         for row in np.unique(np.searchsorted(bounds, wide_spaces(data), "right") - 1):
             begins[bounds[row] : bounds[row + 1]] = False
     begins[bounds] = True

@@ -94,6 +94,17 @@ def test_equals_token_by_token_alignment(spark, files, monkeypatch):
     assert sorted((tuple(r) for r in alignment.alignment_profile(docs, files).collect()), key=repr) == want
 
 
+def test_a_single_space_at_the_end(spark, files):
+    ends = [" ", "a ", "two words ", "日本 ", "a\n ", "a\u3000b ", "tail. ", "don't  ", "a b \n", "naïve <s> ", " x ", "▁ "]
+    mine = [(i, t) for i, t in enumerate(ends)] + [(100, "a b"), (101, "two words")]
+    want, groups = brute_force(mine)
+    docs = spark.createDataFrame(mine, "doc_id long, text string")
+    assert [r for r in want if r[0] == 2][0][1] > 0  # it has tokens
+    assert sorted((tuple(r) for r in alignment.alignment_profile(docs, files).collect()), key=repr) == want
+    for r in alignment.align(docs, files).collect():
+        assert [(g["a"], g["b"], g["start"], g["end"]) for g in r["groups"]] == groups[r["doc_id"]]
+
+
 def test_chunks_of_any_size_agree(files):
     voc = alignment.Vocabularies(files)
     texts = [t for _, t in rows()]
