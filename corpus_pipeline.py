@@ -17,7 +17,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the pairwise ranking accepts. It learns from a bounded sample of the labelled documents.
+    """Documents that the pairwise ranking accepts. It learns from all labelled documents.
     Rows are judged each by its own text: null and empty texts as the empty one, equal texts alike, also under a repeated or null key. Without labels of
     both classes all stay; an empty table stays empty. Extra columns pass through."""
     small_batches(spark)

@@ -2,7 +2,7 @@
 
 Every document has a strength; in a pair of a good and a poor one, the good one wins with the logistic of
 the difference of strengths. Strengths are linear in the measures, so the fit is a logistic loss on
-differences of measures. Decisions go by a quantile of the strengths.
+differences of measures. Decisions go by a quantile of the strengths. Fit, quantiles and cut come from all labelled rows.
 """
 
 from __future__ import annotations
@@ -15,13 +15,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadloom.llm.sampling import ROWS_PER_CLASS, labelled_sample, remainder, sampled_texts
+from leadloom.llm.sampling import labels_by_key, remainder
 from leadloom.llm.worker import give_back
 from leadloom.llm.words import Block, blocks, hashes, lowered, split
+from leadloom.session import few, written
 
 THRESHOLD = 0.3
 PAIRS_PER_ROW = 8
 RIDGE = 1e-3
+#: Labelled rows among which a task draws pairs, and how many such groups there are at most: the groups grow beyond that.
+ROWS_PER_GROUP, MOST_GROUPS = 4096, 2048
+#: Rows of each class that a group has on average at least, where it must borrow them.
+PARTNERS = 64
+#: Cells from strength 0 to infinity on which strengths are counted.
+CELLS = 1 << 15
 _KNOTS = 513
 
 
@@ -42,7 +49,7 @@ _STOP = _kind(".,;:")
 
 class Ranking(NamedTuple):
     """Weights over the scaled measures, and the map from strength to score: knots of the weighted
-    quantiles of the sample, and the quantile at which good documents begin."""
+    quantiles of the labelled rows, and the quantile at which good documents begin."""
 
     mean: np.ndarray
     scale: np.ndarray
@@ -135,56 +142,152 @@ def _measures(text: pa.Array) -> pa.Array:
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text",
-    rows_per_class: int = ROWS_PER_CLASS,
+    rows_per_group: int = ROWS_PER_GROUP,
 ) -> Ranking | None:
-    """A ranking learnt from pairs among at most ``rows_per_class`` labelled rows of each class (the bound);
-    None where the labels do not hold both classes or a table is empty. Measures are taken by tasks; the driver gets the
-    sample's measures only. A null text is the empty one; null keys, and labels that are null or neither 0 nor 1, are left
-    out; of texts repeated under a key one counts; ties in the sample's order go by key. Other columns are not read."""
-    sample, share = labelled_sample(labels, label, key, rows_per_class)
-    table = sampled_texts(docs, sample, key, text).select("_label", _measures("_text").alias("x")).toArrow()
-    y = table["_label"].to_numpy()
-    if not len(y) or y.min() == y.max():
+    """A ranking learnt from all labelled rows; None where the labels do not hold both classes or a table is empty. Rows are dealt over groups of about
+    ``rows_per_group`` by a hash of the key; tasks draw the pairs of a group, and the driver gets sums only. A null text is the empty one; null keys, and
+    labels that are null or neither 0 nor 1, are left out; a key with several labels takes the largest; of texts repeated under a
+    key one counts, that with the smallest hash. Other columns are not read."""
+    marks = written(labels_by_key(labels, label, key), "labels")
+    picked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    measured = [F.xxhash64("_text").alias("_hash"), _measures("_text").alias("x")]
+    if few(marks):
+        rows = picked.join(F.broadcast(marks), "_key").select("_key", "_label", *measured)
+    else:  # the texts stay where they are, their measures meet the labels
+        rows = picked.where("_key is not null").select("_key", *measured).join(marks, "_key")
+    rows = rows.groupBy("_key").agg(F.max("_label").alias("_label"), F.min_by("x", "_hash").alias("x"))
+    rows = written(rows, "measures")
+    counts = {r["_label"]: r["count"] for r in rows.groupBy("_label").count().collect()}
+    if len(counts) < 2:
         return None
-    x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
-    return learn(x, y, share)
-
-
-def learn(x: np.ndarray, y: np.ndarray, share: float, seed: int = 7) -> Ranking:
-    """Newton steps on the logistic loss over random (good, poor) pairs."""
-    mean, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
-    order = np.lexsort(x.T)  # the fit does not depend on the order in which tasks answered
-    x, y = ((x - mean) / scale)[order], y[order]
-    draw = np.random.default_rng(seed)
-    good, poor = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    pairs = PAIRS_PER_ROW * len(y)
-    d = x[draw.choice(good, pairs)] - x[draw.choice(poor, pairs)]
-    w = np.zeros(x.shape[1])
+    return learn(written(grouped(rows, counts, rows_per_group), "groups"))
+
+
+def grouped(rows: DataFrame, counts: dict[int, int], rows_per_group: int) -> DataFrame:
+    """One row a group, with the measures of its good and poor documents, and count, mean and squared deviations of those that are its own. Every row
+    has one group of its own; where a class has too few rows for all groups, its rows visit further ones as partners."""
+    groups = max(1, min(MOST_GROUPS, sum(counts.values()) // rows_per_group))
+    visits = {c: min(groups, -(-PARTNERS * groups // n)) for c, n in counts.items()}
+    home = F.pmod(F.xxhash64("_key"), F.lit(groups)).cast("int")
+    many = F.when(F.col("_label") == 1, visits[1]).otherwise(visits[0])
+    placed = rows.select("_label", "x", home.alias("_home"), F.explode(F.sequence(F.lit(0), many - 1)).alias("_visit"))
+    placed = placed.select("_label", "x", ((F.col("_home") + F.col("_visit")) % groups).alias("_group"), (F.col("_visit") == 0).alias("_own"))
+
+    def pack(key: tuple, table: pa.Table) -> pa.Table:
+        y, own = table["_label"].to_numpy(), table["_own"].to_numpy()
+        x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
+        order = np.lexsort((*x.T, ~own))  # what follows does not depend on the order in which rows came
+        x, y, own = x[order], y[order], own[order]
+        n, mean = int(own.sum()), x[own].mean(0) if own.any() else np.zeros(x.shape[1])
+        off = ((x[own] - mean) ** 2).sum(0)
+        give_back("quality")
+        return pa.table({
+            "group": [key[0].as_py()], "n": [n], "mean": [mean], "off": [off],
+            **{f"{name}{part}": [x[(y == c) & (own if part == "" else ~own)].ravel()] for c, name in ((1, "good"), (0, "poor")) for part in ("", "_guest")},
+        }, schema=pa.schema(_PACKED))
+
+    schema = "group int, n long, mean array<double>, off array<double>, good array<double>, good_guest array<double>, poor array<double>, poor_guest array<double>"
+    return placed.groupBy("_group").applyInArrow(pack, schema)
+
+
+_LIST = pa.list_(pa.float64())
+_PACKED = [("group", pa.int32()), ("n", pa.int64()), ("mean", _LIST), ("off", _LIST), *[(f"{c}{part}", _LIST) for c in ("good", "poor") for part in ("", "_guest")]]
+
+
+def _pairs(draw: np.random.Generator, rows: int, pairs: int) -> np.ndarray:
+    """``pairs`` row numbers; all rows come before any comes again."""
+    return np.concatenate([draw.permutation(rows) for _ in range(-(-pairs // rows))])[:pairs]
+
+
+def learn(groups: DataFrame, seed: int = 7) -> Ranking:
+    """Newton steps on the logistic loss over random (good, poor) pairs of all groups; a step is one pass over the measures. Then the
+    strengths of all rows are counted on a fine grid, which gives quantiles and the cut."""
+    stats = sorted(groups.where("n > 0").select("group", "n", "mean", "off").collect())
+    n = np.array([r["n"] for r in stats], dtype=float)
+    means, off = np.array([r["mean"] for r in stats]), np.array([r["off"] for r in stats])
+    mean = n @ means / n.sum()
+    scale = np.maximum(np.sqrt((off.sum(0) + n @ (means - mean) ** 2) / n.sum()), 1e-9)
+    width = len(mean)
+
+    def matrix(row: dict, *names: str) -> np.ndarray:
+        return (np.concatenate([np.asarray(row[name]) for name in names]).reshape(-1, width) - mean) / scale
+
+    def step_of(w: np.ndarray):
+        def sums(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    good, poor = matrix(row, "good", "good_guest"), matrix(row, "poor", "poor_guest")
+                    draw = np.random.default_rng((seed, row["group"]))
+                    pairs = PAIRS_PER_ROW * row["n"] if len(good) and len(poor) else 0
+                    gradient, curve = np.zeros(width), np.zeros((width, width))
+                    if pairs:
+                        g, b = _pairs(draw, len(good), pairs), _pairs(draw, len(poor), pairs)
+                        for at in range(0, pairs, 1 << 14):
+                            d = good[g[at : at + (1 << 14)]] - poor[b[at : at + (1 << 14)]]
+                            p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))  # the chance that the poor one wins
+                            gradient -= d.T @ p
+                            curve += (d * (p * (1 - p))[:, None]).T @ d
+                    yield pa.record_batch([
+                        pa.array([row["group"]], pa.int32()), pa.array([pairs], pa.int64()), pa.array([gradient], _LIST), pa.array([curve.ravel()], _LIST),
+                    ], ["group", "pairs", "gradient", "curve"])
+            give_back("quality")
+
+        return sums
+
+    w = np.zeros(width)
     for _ in range(30):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))  # the chance that the poor one wins
-        gradient = RIDGE * w - d.T @ p / pairs
-        curve = (d * (p * (1 - p))[:, None]).T @ d / pairs + RIDGE * np.eye(len(w))
+        told = sorted(groups.mapInArrow(step_of(w), "group int, pairs long, gradient array<double>, curve array<double>").collect())
+        pairs = sum(r["pairs"] for r in told)
+        gradient = RIDGE * w + np.sum([r["gradient"] for r in told], 0) / pairs
+        curve = np.sum([r["curve"] for r in told], 0).reshape(width, width) / pairs + RIDGE * np.eye(width)
         step = np.linalg.solve(curve, gradient)
-        w -= step
+        w = w - step
         if np.abs(step).max() < 1e-6:
             break
-    s = x @ w
-    weight = np.where(y == 1, share / len(good), (1 - share) / len(poor))
-    by = np.argsort(s, kind="stable")
-    s, weight, y = s[by], weight[by], y[by]
-    # the cut between two neighbours that errs least on both classes alike
-    errors = np.cumsum(y == 1) / len(good) + 1 - np.cumsum(y == 0) / len(poor)
+
+    def strengths(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                cells = [_cell(matrix(row, name) @ w) for name in ("good", "poor")]
+                cell, at = np.unique(np.concatenate(cells), return_inverse=True)
+                good = np.bincount(at[: len(cells[0])], minlength=len(cell))
+                yield pa.record_batch([pa.array(c.astype(np.int64)) for c in (cell, good, np.bincount(at, minlength=len(cell)) - good)], ["cell", "good", "poor"])
+        give_back("quality")
+
+    counted = groups.mapInArrow(strengths, "cell long, good long, poor long").groupBy("cell").agg(F.sum("good").alias("good"), F.sum("poor").alias("poor"))
+    table = counted.orderBy("cell").toArrow()
+    return _with_cut(mean, scale, w, *(table[c].to_numpy() for c in ("cell", "good", "poor")))
+
+
+def _cell(strength: np.ndarray) -> np.ndarray:
+    """Cells of the grid on which strengths are counted: even on the strength bent into (-1, 1), so that the grid has no end."""
+    return np.floor(strength / (1 + np.abs(strength)) * CELLS).astype(np.int64)
+
+
+def _border(cell: np.ndarray) -> np.ndarray:
+    """The strength at which a cell begins."""
+    bent = np.clip(cell / CELLS, -1 + 1e-9, 1 - 1e-9)
+    return bent / (1 - np.abs(bent))
+
+
+def _with_cut(mean: np.ndarray, scale: np.ndarray, w: np.ndarray, cell: np.ndarray, good: np.ndarray, poor: np.ndarray) -> Ranking:
+    """Quantiles and cut from the counts of all rows by cell."""
+    below_good, below_poor = np.cumsum(good), np.cumsum(poor)
+    # the cut between two neighbouring cells that errs least on both classes alike
+    errors = below_good / below_good[-1] + 1 - below_poor / below_poor[-1]
     at = int(np.argmin(errors))
-    border = (s[at] + s[min(at + 1, len(s) - 1)]) / 2
-    below = np.cumsum(weight) - weight / 2
-    picks = np.unique(np.linspace(0, len(s) - 1, _KNOTS).astype(int))
-    strengths, quantiles = s[picks], below[picks] / weight.sum()
+    middle = _border(cell + 0.5)
+    border = (middle[at] + middle[min(at + 1, len(cell) - 1)]) / 2
+    upto = below_good + below_poor
+    below = upto - (good + poor) / 2
+    picks = np.unique(np.clip(np.searchsorted(upto, np.linspace(0, upto[-1], _KNOTS)), 0, len(cell) - 1))
+    strengths, quantiles = middle[picks], below[picks] / upto[-1]
     return Ranking(mean, scale, w, strengths, quantiles, float(np.interp(border, strengths, quantiles)))
 
 
 def scores(block: Block, model: Ranking | None) -> np.ndarray:
     """Score of each text: its strength's quantile, stretched so that the cut lies at the threshold; beyond
-    the sample's extremes the score goes on towards 0 and 1."""
+    their extremes the score goes on towards 0 and 1."""
     x = measures(block)
     if model is None:
         return np.full(len(x), 0.5)

@@ -21,16 +21,21 @@ def sampled_texts(docs: DataFrame, sample: DataFrame, key: str, text: str) -> Da
     return picked.groupBy("_key").agg(F.max("_label").alias("_label"), F.min_by("_text", F.xxhash64("_text")).alias("_text"))
 
 
-def labelled_sample(labels: DataFrame, label: str, key: str, rows_per_class: int) -> tuple[DataFrame, float]:
-    """At most ``rows_per_class`` keys of each class (those with the smallest hashes), and the share of
-    class 1 among all. Labels other than 0 and 1 and null keys are left out; a key with several labels
-    takes the largest. The sample has a bounded number of rows and may be broadcast."""
-    clean = (
+def labels_by_key(labels: DataFrame, label: str, key: str) -> DataFrame:
+    """``_key`` and ``_label``, one row a key: labels other than 0 and 1 and null keys are left out; a key with several labels takes the largest."""
+    return (
         labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
         .where("_key is not null and _label in (0, 1)")
         .groupBy("_key")
         .agg(F.max("_label").alias("_label"))
     )
+
+
+def labelled_sample(labels: DataFrame, label: str, key: str, rows_per_class: int) -> tuple[DataFrame, float]:
+    """At most ``rows_per_class`` keys of each class (those with the smallest hashes), and the share of
+    class 1 among all. Labels other than 0 and 1 and null keys are left out; a key with several labels
+    takes the largest. The sample has a bounded number of rows and may be broadcast."""
+    clean = labels_by_key(labels, label, key)
     counts = {r["_label"]: r["count"] for r in clean.groupBy("_label").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     picked = [
