@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.rules import TITLE_PHRASES
-from leadloom.session import spread_small
+from leadloom.session import spread_small, written
 
 COUNTRIES = (
     "Germany", "Switzerland", "Netherlands", "Belgium", "Denmark", "Sweden", "Ireland", "France",
@@ -185,11 +185,13 @@ def person_url(key: Column) -> Column:
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """People of a company: the suppliers on the lineitems of its orders."""
+    """People of a company: the suppliers on the lineitems of its orders. The pairs are written once, as joins that spread frequent
+    companies read them twice."""
     s = F.col("l_suppkey")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     pairs = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_suppkey").distinct()
+    pairs = written(pairs, "people-pairs")
     return pairs.select(
         F.concat(F.lit("org-"), F.col("o_custkey").cast("string")).alias("company_key"),
         person_name(s).alias("full_name"),

@@ -51,3 +51,17 @@ def test_a_first_run_joins_nothing_with_the_empty_tables(spark, tmp_path):
     merged = merge.keyed_merge(stored, batch, merge.CONTACT_JOBS, only_touched=True)
     assert [tuple(r) for r in merged.collect()] == [("c", "j", None, True)]
     assert "Join" not in merged._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_people_are_joined_once(spark, tmp_path):
+    from leadloom.plans import bindings as b
+
+    for name, rows, schema in (
+        ("lineitem", [(1, 5), (1, 5), (1, 6), (2, 5), (3, None), (None, 5)], "l_orderkey long, l_suppkey long"),
+        ("orders", [(1, 10), (2, 10), (3, 11), (4, 12)], "o_orderkey long, o_custkey long"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    people = b.people(spark, str(tmp_path))
+    assert not any("lineitem" in p for p in people.inputFiles())
+    assert sorted((r["company_key"], r["result_pos"]) for r in people.where("result_pos is not null").collect()) == [("org-10", 5), ("org-10", 6)]
+    assert people.count() == 3
