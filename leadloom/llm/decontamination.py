@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -47,10 +46,17 @@ ANSWER_SHARE = 0.6
 SHORT_ITEM = 8
 #: Items searched for in one pass; more are taken in several passes.
 ITEMS_PER_PASS = 20_000
-#: Items and windows compared at once, and words of candidates measured at once; these bound memory, not results.
-ITEMS_AT_ONCE, WINDOWS_AT_ONCE, CANDIDATE_WORDS = 256, 1 << 12, 1 << 19
+#: Items and windows compared at once, words of candidates measured at once, and vectors added at once; these bound memory, not results.
+#: Workers give arrays of ``worker.LARGE_BYTES`` back when freed, and new ones cost more than what is computed in them: these are smaller.
+ITEMS_AT_ONCE, WINDOWS_AT_ONCE, CANDIDATE_WORDS, VECTORS_AT_ONCE = 256, 1 << 11, 1 << 16, 1 << 10
+#: Occurrences of a term in a block that are added together with those of other terms; further ones are added term by term.
+LAYERS = 32
+#: Partial sums are added up in this many groups first.
+GROUPS = 16
 #: Grains of a block up to which single precision does for running sums.
 SHORT_BLOCK = 1 << 17
+#: Candidates from which on their subsequences are measured together.
+MANY = 64
 #: Words of the longest item whose subsequences are measured for many candidates at once.
 LONG_ITEM = 496
 _LIMB = 62
@@ -93,12 +99,46 @@ def runs(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray,
 
 def summed(vectors: np.ndarray, terms: np.ndarray) -> np.ndarray:
     """The sum of the vectors of each line of terms; the last vector, for TERMS, is zero."""
-    out = vectors[terms[:, 0]] if len(terms) else np.zeros((0, vectors.shape[1]), vectors.dtype)
-    for k in range(1, terms.shape[1]):
-        out += vectors[terms[:, k]]
+    out = np.empty((len(terms), vectors.shape[1]), vectors.dtype)
+    more = np.empty_like(out[:VECTORS_AT_ONCE])
+    for first in range(0, len(terms), VECTORS_AT_ONCE):
+        some, own = terms[first : first + VECTORS_AT_ONCE].T.astype(np.intp), out[first : first + VECTORS_AT_ONCE]
+        vectors.take(some[0], axis=0, out=own, mode="clip")
+        for line in some[1:]:
+            own += vectors.take(line, axis=0, out=more[: len(own)], mode="clip")
     return out
 
 
+def running_sums(vectors: np.ndarray, terms: np.ndarray, dtype: type) -> np.ndarray:
+    """The sums of the vectors of all lines of terms before each line, and of all lines."""
+    out = np.zeros((len(terms) + 1, vectors.shape[1]), dtype)
+    for first in range(0, len(terms), VECTORS_AT_ONCE):
+        own = np.ascontiguousarray(summed(vectors, terms[first : first + VECTORS_AT_ONCE]).T, dtype)
+        own[:, 0] += out[first]
+        out[first + 1 : first + 1 + own.shape[1]] = np.cumsum(own, axis=1).T
+    return out
+
+
+def add_rows(rows: np.ndarray, source: np.ndarray, target: np.ndarray, sums: np.ndarray) -> None:
+    """Adds to the rows ``target`` (under 2^16) of ``sums`` the rows ``source`` of ``rows``, whatever repeats, in the precision of ``sums``."""
+    source = source[np.argsort(target.astype(np.uint16), kind="stable")]
+    count = np.bincount(target, minlength=len(sums))
+    begin = np.cumsum(count) - count
+    falling = np.argsort(-count, kind="stable")[: np.count_nonzero(count)]
+    buffer = np.empty((VECTORS_AT_ONCE, rows.shape[1]), rows.dtype)
+    for first in range(0, len(falling), VECTORS_AT_ONCE):
+        to = falling[first : first + VECTORS_AT_ONCE]
+        at, left = begin[to], count[to]
+        own = rows[source[at]].astype(sums.dtype)
+        for k in range(1, min(int(left[0]), LAYERS)):
+            more = np.searchsorted(-left, -k)  # those with more than k, which stand first
+            own[:more] += rows.take(source[at[:more] + k], axis=0, out=buffer[:more], mode="clip")
+        for i in range(np.searchsorted(-left, -LAYERS)):
+            for rest in range(LAYERS, left[i], VECTORS_AT_ONCE):
+                own[i] += rows[source[at[i] + rest : at[i] + min(rest + VECTORS_AT_ONCE, left[i])]].sum(0, dtype=sums.dtype)
+        sums[to] += own
+
+
 def random_matrix() -> np.ndarray:
     w = np.random.default_rng(_SEED).standard_normal((TERMS + 1, RANK)).astype(np.float32)
     w[TERMS] = 0
@@ -112,11 +152,9 @@ def add_passages(words: np.ndarray, bounds: np.ndarray, w: np.ndarray, sums: np.
         return 0
     terms = np.sort(terms, axis=1)
     terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = TERMS  # a term is present or not
-    projected = np.ascontiguousarray(summed(w, terms).T)
     passage, place = np.nonzero(terms < TERMS)
     term = terms[passage, place]
-    for k in range(RANK):
-        sums[k] += np.bincount(term, projected[k][passage], TERMS)
+    add_rows(summed(w, terms), passage, term, sums)
     seen += np.bincount(term, minlength=TERMS)
     return len(starts)
 
@@ -134,7 +172,7 @@ _PARTIAL = T.StructType(
 
 def _sum_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     w = random_matrix()
-    sums, seen, n, part = np.zeros((RANK, TERMS)), np.zeros(TERMS, np.int64), 0, None
+    sums, seen, n, part = np.zeros((TERMS, RANK)), np.zeros(TERMS, np.int64), 0, None
     for batch in batches:
         if part is None and batch.num_rows:
             part = batch.column(1)[0].as_py()
@@ -142,7 +180,7 @@ def _sum_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             n += add_passages(*block_words(block), w, sums, seen)
         give_back("decontamination")
     if part is not None:
-        cut, sums = range(0, TERMS, _STRIPE), np.ascontiguousarray(sums.T, dtype=np.float32)
+        cut, sums = range(0, TERMS, _STRIPE), sums.astype(np.float32)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([i // _STRIPE for i in cut], pa.int32()),
@@ -169,7 +207,7 @@ def semantic_space(docs: DataFrame, text: str = "text") -> Space:
     """The latent space of all passages of ``docs``. Each task gives one partial sum of a fixed size, in stripes
     of terms; stripes are added up in two levels, and the driver gets one sum."""
     parts = docs.select(F.lower(text).alias("_text"), F.spark_partition_id().alias("_part")).mapInArrow(_sum_passages, _PARTIAL)
-    some = parts.groupBy("stripe", F.col("part") % 256).applyInPandas(_add_up, _PARTIAL)
+    some = parts.groupBy("stripe", F.col("part") % GROUPS).applyInPandas(_add_up, _PARTIAL)
     rows = some.groupBy("stripe").applyInPandas(_add_up, _PARTIAL).orderBy("stripe").collect()
     if not rows or not rows[0]["passages"]:
         return Space(np.zeros((TERMS + 1, RANK), np.float32))
@@ -273,7 +311,8 @@ def queries(items: list[Item], space: Space) -> Wanted:
         place = np.concatenate([np.arange(len(i.words)) for i in group])
         number = np.searchsorted(known, np.concatenate([i.words for i in group]))
         keys, at = np.unique(item * (len(known) + 1) + number, return_inverse=True)
-        hashed = np.zeros(1 << max(10, (16 * len(keys)).bit_length()), dtype=np.uint8)
+        size = max(10, (16 * len(keys)).bit_length(), min(22, (64 * len(keys)).bit_length()))  # few other words share a place
+        hashed = np.zeros(1 << size, dtype=np.uint8)
         hashed[slots(item, number, len(hashed))] = 1
         places = np.zeros((limbs, len(keys) + 1), dtype=np.uint64)  # the last one: no place
         if limbs:
@@ -307,24 +346,48 @@ def words_held(q: Query, number: np.ndarray, nobody: int, begin: np.ndarray, end
         yield window, np.full(len(window), item)
 
 
+def directions(running: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Unit vectors of the windows from grain ``begin`` to ``end``."""
+    z = (running[end] - running[begin]).astype(np.float32, copy=False)
+    z /= np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-12)[:, None]
+    return z
+
+
 def near(q: Query, z: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(windows, items) whose cosine reaches the item's least; ``z``: unit vectors of windows."""
     for first in range(0, len(q.items), ITEMS_AT_ONCE):
         cosine = z @ q.vectors[:, first : first + ITEMS_AT_ONCE]
-        window, item = np.nonzero(cosine >= q.least[first : first + ITEMS_AT_ONCE])
+        window, item = np.divmod(np.flatnonzero(cosine >= q.least[first : first + ITEMS_AT_ONCE]), cosine.shape[1])
         yield window, item + first
 
 
+def candidates(q: Query, running: np.ndarray, number: np.ndarray, nobody: int, begin: np.ndarray, end: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(windows, items) by cosine, and by word counts for the items without a reliable direction. Windows that hold fewer words of
+    all the query's items than the item needs cannot be confirmed: they are left out."""
+    asked = np.zeros(nobody + 1, dtype=bool)
+    asked[q.keys % (nobody + 1)] = True
+    count, edges = np.concatenate([[0], np.cumsum(asked[number])]), np.append(starts, len(number))
+    held = count[edges[end]] - count[edges[begin]]
+    able = np.flatnonzero(held >= q.needed.min())
+    for part in range(0, len(able), WINDOWS_AT_ONCE):
+        some = able[part : part + WINDOWS_AT_ONCE]
+        for window, item in near(q, directions(running, begin[some], end[some])):
+            enough = held[some[window]] >= q.needed[item]
+            yield some[window[enough]], item[enough]
+    yield from words_held(q, number, nobody, begin, end, starts)
+
+
 def kept_in_order(q: Query, number: np.ndarray, multiplied: np.ndarray, nobody: int, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
-    """Which candidates, the words from ``low`` to ``high`` with an item each, keep as many of the item's words in order as a
-    match must; ``multiplied``: numbers as ``slots`` takes them. Words are counted first; the rest is the recurrence of ``common_words`` for many candidates at once, with carries
+    """Which candidates, the words from ``low`` to ``high`` with an item each, may keep as many of the item's words in order as a
+    match must (all that do, and where there are MANY to be measured only those); ``multiplied``: numbers as ``slots`` takes them. Words are counted first; the rest is the recurrence of ``common_words`` for many candidates at once, with carries
     from limb to limb. Bits beyond an item stay set."""
     longest = int((high - low).max(initial=0))
-    held, salt = np.zeros(len(low), dtype=np.int32), item * 0x9E3779B1
-    for k in range(longest):  # at least as many as there are: a place may be shared, and words beyond ``high`` count too
-        own = multiplied[np.minimum(low + k, len(number) - 1)]
-        held += q.hashed[salt + own >> 7 & (len(q.hashed) - 1)]
-    likely = held >= q.needed[item]
+    # at least as many as there are: a place may be shared, and words around the window count too where it is shorter
+    place = np.lib.stride_tricks.sliding_window_view(multiplied, longest)[np.minimum(low, len(number) - longest)]
+    place += (item * 0x9E3779B1)[:, None]
+    place >>= 7
+    place &= len(q.hashed) - 1
+    likely = q.hashed.take(place, mode="clip").sum(1, dtype=np.int32) >= q.needed[item]
     if not likely.any():
         return likely
     low, high, item = low[likely], high[likely], item[likely]
@@ -336,7 +399,7 @@ def kept_in_order(q: Query, number: np.ndarray, multiplied: np.ndarray, nobody:
     where = np.minimum(np.searchsorted(q.keys, key[some]), len(q.keys) - 1)
     found[some] = np.where(q.keys[where] == key[some], where, len(q.keys))
     enough = np.count_nonzero(found < len(q.keys), axis=1) >= q.needed[item]
-    if not len(q.places) or not enough.any():
+    if not len(q.places) or np.count_nonzero(enough) < MANY:  # ``confirmed`` finds the few out sooner
         likely[likely] = enough
         return likely
     found, full = found[enough], np.uint64((1 << _LIMB) - 1)
@@ -379,8 +442,7 @@ def search(block: Block, wanted: Wanted, space: Space) -> Iterator[tuple]:
     if not len(starts) or not len(wanted.words):
         return
     edge = np.concatenate([[0], np.cumsum(per_row)])
-    running = np.zeros((len(starts) + 1, RANK), dtype=np.float32 if len(starts) <= SHORT_BLOCK else np.float64)
-    np.cumsum(summed(space.vectors, terms), axis=0, out=running[1:])
+    running = running_sums(space.vectors, terms, np.float32 if len(starts) <= SHORT_BLOCK else np.float64)
     row = np.repeat(np.arange(len(per_row)), per_row)
     nth = np.arange(len(starts)) - edge[row]
     nobody = len(wanted.words)
@@ -391,24 +453,21 @@ def search(block: Block, wanted: Wanted, space: Space) -> Iterator[tuple]:
     best: dict[tuple[int, int], tuple] = {}
     for q in wanted.queries:
         # windows begin at every stride-th grain, as long as the one before did not reach the end of the row
-        all_begin = np.flatnonzero((nth % q.stride == 0) & ((nth == 0) | (nth + q.width - q.stride < per_row[row])))
-        for part in range(0, len(all_begin), WINDOWS_AT_ONCE):
-            begin = all_begin[part : part + WINDOWS_AT_ONCE]
-            end = np.minimum(begin + q.width, edge[row[begin] + 1])
-            z = (running[end] - running[begin]).astype(np.float32, copy=False)
-            z /= np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-12)[:, None]
-            first = starts[begin]
-            last = np.where(end < edge[row[begin] + 1], starts[np.minimum(end, len(starts) - 1)], bounds[row[begin] + 1])
-            at_once = max(1, CANDIDATE_WORDS // (q.width * GRAIN))
-            for window, item in chain(near(q, z), words_held(q, number, nobody, begin, end, starts)):
-                for some in range(0, len(window), at_once):
-                    i, k = window[some : some + at_once], item[some : some + at_once]
-                    enough = kept_in_order(q, number, multiplied, nobody, first[i], last[i], k)
-                    for i, k in zip(i[enough].tolist(), k[enough].tolist(), strict=True):
-                        r, own, low, high = int(row[begin[i]]), q.items[k], int(first[i]), int(last[i])
-                        found = confirmed(own, q.masks[k], words[low:high].tolist())
-                        if found and ((r, own.item_id) not in best or best[r, own.item_id][1] < found[1]):
-                            best[r, own.item_id] = (*found, float(z[i] @ q.vectors[:, k]), low - int(bounds[r]), high - low)
+        begin = np.flatnonzero((nth % q.stride == 0) & ((nth == 0) | (nth + q.width - q.stride < per_row[row])))
+        end = np.minimum(begin + q.width, edge[row[begin] + 1])
+        first = starts[begin]
+        last = np.where(end < edge[row[begin] + 1], starts[np.minimum(end, len(starts) - 1)], bounds[row[begin] + 1])
+        at_once = max(1, CANDIDATE_WORDS // (q.width * GRAIN))
+        for window, item in candidates(q, running, number, nobody, begin, end, starts):
+            for some in range(0, len(window), at_once):
+                i, k = window[some : some + at_once], item[some : some + at_once]
+                enough = kept_in_order(q, number, multiplied, nobody, first[i], last[i], k)
+                i, k = i[enough], k[enough]
+                for i, k, z in zip(i.tolist(), k.tolist(), directions(running, begin[i], end[i]), strict=True):
+                    r, own, low, high = int(row[begin[i]]), q.items[k], int(first[i]), int(last[i])
+                    found = confirmed(own, q.masks[k], words[low:high].tolist())
+                    if found and ((r, own.item_id) not in best or best[r, own.item_id][1] < found[1]):
+                        best[r, own.item_id] = (*found, float(z @ q.vectors[:, k]), low - int(bounds[r]), high - low)
     for (r, item_id), found in sorted(best.items()):
         yield (r, item_id, *found)
 
